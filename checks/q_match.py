@@ -12,7 +12,7 @@ from rostra.functions.numbers import round_exact
 from rostra.functions.skills import extract_skills, join_sorted
 from rostra.operators import eda, generation, metrics, panel, profiles, scoring, tfidf
 from rostra.plans import screening
-from rostra.sources.fixtures import view
+from rostra.sources.fixtures import recipes, view
 
 ARR = lambda c: q.joined(c)
 
@@ -85,7 +85,7 @@ query("win_rank_candidates", q.FACTS + f"SELECT application_id, job_id, {RANK} A
     lambda spark, sf: screening.rank_by_job(screening.ranking_rows(scoring.add_decision(data.matched(spark, sf))).select("application_id", "job_id", "final_score")).select("application_id", "job_id", "rank"))
 
 
-@query("join_one_to_many", oracle := q.FACTS.replace("pairs AS (SELECT DISTINCT candidate_id, job_id FROM v_application)",
+@query("join_one_to_many", q.FACTS.replace("pairs AS (SELECT DISTINCT candidate_id, job_id FROM v_application)",
        "pairs AS (SELECT candidate_id, 0::BIGINT AS job_id FROM v_candidate)") + """
 SELECT c.candidate_id, round(s.sim, 9) AS similarity, CAST(len(list_filter(j.jd_skills, lambda x: list_contains(c.skills, x))) AS BIGINT) AS matched
 FROM cand c JOIN sims s ON s.candidate_id = c.candidate_id JOIN job j ON j.job_id = 0""")
@@ -217,7 +217,7 @@ def eda_feature_corr(spark, sf):
 
 # --- panels ------------------------------------------------------------------------------------------------------------
 
-TARGET = q.FACTS + """,
+TARGET = (q.FACTS + """,
 req AS (SELECT application_id, lower(job_role) AS role, list_sort(list_distinct(list_concat(jd_skills, skills))) AS target,
   CASE WHEN yrs < 3 THEN 1 WHEN yrs < 6 THEN 2 ELSE 3 END AS need FROM matched),
 iv AS (SELECT *, interviews_this_week::DOUBLE / greatest(max_per_week, 1)::DOUBLE AS load,
@@ -229,10 +229,7 @@ sc AS MATERIALIZED (SELECT rid, pool_ord, level, load, list_sort(list_filter(ivs
   + 0.30::DOUBLE * CASE WHEN role <> '' AND role = lower(primary_role) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
   + 0.15::DOUBLE * CASE WHEN CASE level WHEN 'Senior' THEN 2 WHEN 'Lead' THEN 3 WHEN 'Manager' THEN 4 WHEN 'Director' THEN 5 ELSE 1 END >= need THEN 1.0::DOUBLE ELSE 0.3::DOUBLE END
   + 0.10::DOUBLE * (1 - load) AS score FROM d, free)
-""".replace("cand AS (", "v_interviewer AS (__IV__),\ncand AS (", 1)
-from rostra.sources.fixtures import recipes  # noqa: E402
-
-TARGET = TARGET.replace("cand AS (", f"v_interviewer AS ({recipes(False)['v_interviewer']}),\ncand AS (", 1) if "__IV__" not in TARGET else TARGET.replace("__IV__", recipes(False)["v_interviewer"])
+""").replace("cand AS (", f"v_interviewer AS ({recipes(False)['v_interviewer']}),\ncand AS (", 1)
 REASON = """(SELECT upper(r[1]) || lower(r[2:]) FROM (SELECT array_to_string(list_filter([CASE WHEN same THEN 'works in the same role' END,
   CASE WHEN len(ov) > 0 THEN 'can assess ' || array_to_string(ov[1:3], ', ') END, lower(level) || ' level', CASE WHEN load < 0.5 THEN 'has availability' END],
   lambda s: s IS NOT NULL), '; ') AS r))"""
@@ -271,7 +268,7 @@ def panel_score(spark, sf):
 
 
 @query("join_panel", TARGET + """SELECT r.role, array_to_string(r.target, '|') AS target, s.pool_ord, array_to_string(s.ov, '|') AS overlap, max(s.score) AS score FROM sc s JOIN d r USING (rid)
-  WHERE len(s.ov) > 0 AND (s.level, s.ov, s.same, s.load, s.pool_ord) IN (SELECT (level, ov, same, load, pool_ord) FROM sc WHERE rid = s.rid) AND r.need = 1 AND s.same GROUP BY ALL""")
+  WHERE len(s.ov) > 0 AND r.need = 1 AND s.same GROUP BY ALL""")
 def join_panel(spark, sf):
     """Available interviewers of the same role who share a skill with a request."""
     people = panel.available(view(spark, sf, "v_interviewer")).withColumn("role_key", F.lower("primary_role"))
@@ -356,7 +353,7 @@ def llm_prompt_table(spark, sf):
 
 @query("llm_parse_json", """
 WITH r AS (SELECT conv_id, turn, text, (conv_id + turn) % 5 AS kind FROM conversations WHERE role = 'assistant')
-SELECT conv_id, turn, kind IN (0, 1, 2) AS parsed, CASE WHEN kind IN (0, 1) THEN 2::BIGINT END AS items, CASE WHEN kind IN (0, 1) THEN text END AS first_question FROM r""")
+SELECT conv_id, turn, kind <> 4 AS parsed, CASE WHEN kind IN (0, 1) THEN 2::BIGINT END AS items, CASE WHEN kind IN (0, 1) THEN text END AS first_question FROM r""")
 def llm_parse_json(spark, sf):
     """Assistant turns dressed as replies: fenced list, list inside talk, object, broken list, plain talk."""
     r = view(spark, sf, "conversations").where("role = 'assistant'").withColumn("kind", (F.col("conv_id") + F.col("turn")) % 5)
@@ -369,5 +366,5 @@ def llm_parse_json(spark, sf):
              .otherwise(F.translate("text", "[]{}", "")))
     parsed = r.select("conv_id", "turn", generation.reply_json(reply).alias("json"))
     qs = parsed.withColumn("qs", generation.reply_questions(F.col("json")))
-    return qs.select("conv_id", "turn", F.col("json").isNotNull().alias("parsed"), F.size("qs").alias("items"), F.get("qs.question", F.lit(0)).alias("first_question")) \
-        .withColumn("items", F.when(F.col("items") >= 0, F.col("items")))
+    return qs.select("conv_id", "turn", F.col("json").isNotNull().alias("parsed"), F.array_size("qs").alias("items"),
+                     F.get("qs.question", F.lit(0)).alias("first_question"))

@@ -70,8 +70,10 @@ def box_stats(features: DataFrame, column: str, label: str = "label") -> DataFra
 
 def feature_correlation(features: DataFrame, label: str = "label") -> DataFrame:
     """Correlation of every feature with the label, three decimals; null for a constant column. One pass."""
-    one = features.agg(*[F.corr(f, F.col(label).cast("double")).alias(f) for f in K.FEATURE_NAMES])
-    entries = F.array(*[F.struct(F.lit(f).alias("feature"), round_scaled(F.nanvl(f, F.lit(None)), 3).alias("correlation"))
+    y = F.col(label).cast("double")
+    # The built-in correlation fails on a constant column; dividing here gives null instead.
+    one = features.agg(*[F.try_divide(F.covar_pop(f, y), F.stddev_pop(f) * F.stddev_pop(y)).alias(f) for f in K.FEATURE_NAMES])
+    entries = F.array(*[F.struct(F.lit(f).alias("feature"), round_scaled(F.col(f), 3).alias("correlation"))
                         for f in K.FEATURE_NAMES])
     return one.select(F.explode(entries).alias("e")).select("e.*").orderBy(F.desc_nulls_last("correlation"), "feature")
 

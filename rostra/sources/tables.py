@@ -109,7 +109,7 @@ def discover(spark: SparkSession, path: str, required: list[str], forbidden: lis
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Markdown and text documents under a folder, read-me files left out, in path order."""
-    docs = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    docs = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     name = F.lower(F.col("_metadata.file_name"))
     return (
         docs.where(name.rlike(r"\.(md|txt)$") & ~name.startswith("readme"))
