@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from checks import data
 from checks.q_tables import categories
-from checks.registry import query
+from checks.registry import once, query
 from rostra import constants as K
 from rostra.operators import loading, models
 from rostra.session import materialize, scratch_path
 
 
+@once
 def training_table(spark, sf):
     """Features of the labelled applications with split and fold; written once, read by every fit."""
     rows = data.loaded(spark, sf).select("row_id", "candidate_id", "job_id", "label", "sensitive_age", "sensitive_segment")
@@ -90,15 +91,21 @@ def sink_models(spark, sf):
     return scored.select("row_id", "probability", "predicted", about.select("name").scalar().alias("name"))
 
 
+@once
 def _category_split(spark, sf):
     rows = loading.keep_frequent_classes(categories(spark, sf)).where("category IS NOT NULL")
     return materialize(loading.stratified_split(rows, "category", "row_id"), "categories")
 
 
+@once
+def _category_data(spark, sf):
+    return models.category_data(_category_split(spark, sf))
+
+
 def _category_query(name, model):
     @query(name)
     def run(spark, sf):
-        d = models.category_data(_category_split(spark, sf))
+        d = _category_data(spark, sf)
         scored = models.category_models(d.rows)[model].fit(d.train).transform(d.test)
         return scored.select("row_id", "category", models.predicted_category(d.labels).alias("predicted"))
     return run
@@ -110,7 +117,7 @@ _category_query("ml_category_svm", "Linear SVM")
 
 
 def _topk(spark, sf, model):
-    d = models.category_data(_category_split(spark, sf))
+    d = _category_data(spark, sf)
     scored = models.category_models(d.rows)[model].fit(d.train).transform(d.test)
     return scored.select("row_id", F.posexplode(models.top_categories(scored, d.labels)).alias("pos", "t")) \
         .select("row_id", (F.col("pos") + 1).alias("place"), "t.category", "t.score")

@@ -22,6 +22,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def once(build: Callable) -> Callable:
+    """Build a shared written table once per session and data set; later queries read it."""
+    made: dict[tuple[str, str], object] = {}
+
+    def get(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in made:
+            made[key] = build(spark, sf_dir)
+        return made[key]
+    return get
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Comparable column types: bigint, double, joined string arrays."""
     columns = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from rostra import constants as K
+from rostra.functions.binding import let
 
 # White space as Unicode text processing sees it; Java's plain \s covers ASCII only.
 WS = "\t-\r\\x1c- \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -100,7 +101,7 @@ def role_words(role: Column) -> Column:
 
 def role_hit(words: Column, cleaned_resume: Column) -> Column:
     """Share of the role words that occur anywhere inside the cleaned resume."""
-    hits = F.aggregate(words, F.lit(0), lambda n, w: n + cleaned_resume.contains(w).cast("int"))
+    hits = let(cleaned_resume, lambda text: F.aggregate(words, F.lit(0), lambda n, w: n + text.contains(w).cast("int")))
     return F.coalesce(F.try_divide(hits.cast("double"), F.size(words).cast("double")), F.lit(0.0))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rostra.functions.binding import let
+
 
 def add_term_counts(df: DataFrame, tokens: Column, terms: str = "terms", counts: str = "counts") -> DataFrame:
     """Add the distinct terms (sorted) of a row and how often each occurs.
@@ -41,5 +43,4 @@ def sum_of_squares(weights: Column) -> Column:
 
 def unit(weights: Column) -> Column:
     """Weights divided by their Euclidean length."""
-    length = F.sqrt(sum_of_squares(weights))
-    return F.transform(weights, lambda w: w / length)
+    return let(F.sqrt(sum_of_squares(weights)), lambda length: F.transform(weights, lambda w: w / length))

@@ -17,8 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rostra import constants as K
 from rostra.operators import metrics, tfidf
+from rostra.session import materialize
 from rostra.functions import text as tx
+from rostra.functions.binding import let
+from rostra.functions.vectors import unit
 
+PARALLEL_FITS = 4
+ROWS_PER_TASK = 5000
 LR, RF, GBT, DEEP = "Logistic Regression", "Random Forest", "Gradient Boosting", "Boosted deep"
 
 
@@ -48,9 +53,8 @@ def shortlist_models(rows: int, tree_scale: float = 1.0) -> dict[str, Pipeline]:
     common = dict(labelCol="label", featuresCol="features", seed=K.SEED)
     weights = dict(weightCol="weight")
     copy = VectorAssembler(inputCols=["raw_features"], outputCol="features")
-    boosted = dict(maxIter=trees(100), maxDepth=3, stepSize=0.1, cacheNodeIds=True, checkpointInterval=10)
-    deep = dict(maxIter=trees(300), maxDepth=5, stepSize=0.05, subsamplingRate=0.9, featureSubsetStrategy="0.9",
-                cacheNodeIds=True, checkpointInterval=10)
+    boosted = dict(maxIter=trees(100), maxDepth=3, stepSize=0.1)
+    deep = dict(maxIter=trees(300), maxDepth=5, stepSize=0.05, subsamplingRate=0.9, featureSubsetStrategy="0.9")
     return {
         LR: Pipeline(stages=[
             assembler(), StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
@@ -159,8 +163,7 @@ def text_vectors(docs: DataFrame, vocabulary: DataFrame, doc_id: str, counted: D
             .join(F.broadcast(numbered), F.col("e.terms") == F.col("term"))
             .select(doc_id, F.struct("i", ((1 + F.log(F.col("e.counts"))) * F.col("idf")).alias("w")).alias("t")))
     grouped = long.groupBy(doc_id).agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    length = F.sqrt(F.aggregate("ts", F.lit(0.0), lambda a, t: a + t["w"] * t["w"]))
-    sparse = grouped.select(doc_id, F.col("ts.i").alias("indices"), F.transform("ts", lambda t: t["w"] / length).alias("values"))
+    sparse = grouped.select(doc_id, F.col("ts.i").alias("indices"), unit(F.col("ts.w")).alias("values"))
     joined = docs.join(sparse, doc_id, "left")
     return joined.withColumn("features", sparse_vector(size, F.col("indices"), F.col("values"))).drop("indices", "values")
 
@@ -186,7 +189,8 @@ def category_models(rows: int) -> dict[str, object]:
         "Multinomial NB": NaiveBayes(smoothing=0.1, modelType="multinomial", **common),
         "Logistic Regression": LogisticRegression(family="multinomial", regParam=1.0 / (5 * max(rows, 1)), maxIter=3000,
                                                   standardization=False, **common),
-        "Linear SVM": OneVsRest(classifier=LinearSVC(regParam=1.0 / max(rows, 1), standardization=False, **common), **common),
+        "Linear SVM": OneVsRest(classifier=LinearSVC(regParam=1.0 / max(rows, 1), standardization=False, **common),
+                                parallelism=PARALLEL_FITS, **common),
     }
 
 
@@ -205,19 +209,26 @@ def category_data(rows: DataFrame, row_id: str = "row_id", max_terms: int = tfid
     vocabulary = tfidf.fit(train_counts, tfidf.document_count(train_counts), 2, max_terms).persist()
     indexer = StringIndexer(inputCol="category", outputCol="class_index", stringOrderType="alphabetAsc").fit(rows)
     vectors = text_vectors(rows.select(row_id, "category", "split"), vocabulary, row_id, counted)
-    data = indexer.transform(vectors).persist()
+    data = few_tasks(indexer.transform(vectors)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     return CategoryData(train, test, indexer.labels, train.count())
 
 
+def few_tasks(df: DataFrame) -> DataFrame:
+    """Tasks of a few thousand rows: every fitting step sends the model to each task and back."""
+    written = materialize(df, "vectors")
+    tasks = -(-written.count() // ROWS_PER_TASK)
+    return written.coalesce(max(1, tasks))
+
+
 def class_scores(scored: DataFrame, labels: list[str]) -> Column:
     """Class scores: probabilities, or for margins a softmax shifted by the largest one."""
     if "probability" in scored.columns:
         return vector_to_array("probability")
     raw = vector_to_array("rawPrediction")
-    shifted = F.transform(raw, lambda x: F.exp(x - F.array_max(raw)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(shifted, lambda x: x / total)
+    shifted = let(F.array_max(raw), lambda top: F.transform(raw, lambda x: F.exp(x - top)))
+    return let(shifted, lambda exps: let(
+        F.aggregate(exps, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(exps, lambda x: x / total)))
 
 
 def top_categories(scored: DataFrame, labels: list[str], k: int = 3) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rostra import constants as K
+from rostra.functions.binding import let
 from rostra.functions.skills import AFTER, BEFORE, SPECIAL, extract_skills
 
 REGEX_LIMIT = 2000
@@ -64,7 +65,7 @@ def add_skills_by_join(docs: DataFrame, text: str, vocabulary: DataFrame, doc_id
                   .agg(F.collect_set("skill").alias("__terms")))
     longest_first = lambda a, b: F.length(b) - F.length(a)
     with_terms = docs.join(candidates, doc_id, "left").withColumn(
-        "__terms", F.array_sort(F.filter("__terms", lambda t: F.lower(F.col(text)).contains(t)), longest_first))
+        "__terms", F.array_sort(let(F.lower(text), lambda low: F.filter("__terms", lambda t: low.contains(t))), longest_first))
     pattern = F.concat(F.lit(BEFORE + "("), F.array_join(F.transform("__terms", _escape), "|"), F.lit(")" + AFTER))
     found = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(text), pattern, 1)))
     return with_terms.withColumn(
