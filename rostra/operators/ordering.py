@@ -16,8 +16,9 @@ PART_SHIFT = 33  # monotonically_increasing_id keeps the partition number above
 
 def _sorted_parts(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     keys = [F.col(g) for g in group] + order
+    # Range bounds come from a sample of the input, which would compute it twice: write it first.
     placed = (
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        materialize(df, "unsorted").repartitionByRange(*keys).sortWithinPartitions(*keys)
         .withColumn("__id", F.monotonically_increasing_id())
         .withColumn("__part", F.shiftright("__id", PART_SHIFT))
         .withColumn("__pos", F.col("__id").bitwiseAND(F.lit((1 << PART_SHIFT) - 1)))

@@ -7,18 +7,19 @@ from pyspark.sql import DataFrame, functions as F
 SALTS = 32
 
 
-def spread_join(facts: DataFrame, keyed: DataFrame, key: str, spread_by: str, rows: str,
+def spread_join(facts: DataFrame, keyed: DataFrame, key: str, spread_by: str, rows: str, unique: bool = False,
                 hot_share: float = 1e-4, salts: int = SALTS) -> DataFrame:
     """Join ``facts`` to ``keyed`` on ``key``, spreading the rows of hot keys over ``salts`` tasks.
 
-    ``keyed[rows]`` states how many fact rows a key has (a document frequency, say). A key is hot when it
+    ``unique`` says that ``keyed`` has each key once. ``keyed[rows]`` states how many fact rows a key has (a document frequency, say). A key is hot when it
     holds at least ``hot_share`` of all of them, so there are at most ``1 / hot_share`` hot keys however
     large the input is; only that list is broadcast. Rows of a hot key get a salt from ``spread_by`` and
     the matching ``keyed`` row is repeated once per salt. Every match is kept.
     """
-    total = keyed.groupBy(key).agg(F.max(rows).alias("n")).agg(F.sum("n")).scalar()
-    hot = (keyed.where(F.col(rows) >= F.greatest(total * F.lit(hot_share), F.lit(1)))
-           .groupBy(key).agg(F.lit(True).alias("__hot")))
+    counts = keyed.select(key, rows) if unique else keyed.groupBy(key).agg(F.max(rows).alias(rows))
+    total = counts.agg(F.sum(rows)).scalar()
+    hot = counts.where(F.col(rows) >= F.greatest(total * F.lit(hot_share), F.lit(1))) \
+        .select(key, F.lit(True).alias("__hot"))
     left = (
         facts.join(F.broadcast(hot), key, "left")
         .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("int"))

@@ -64,7 +64,7 @@ def transform(counted: DataFrame, vocabulary: DataFrame, doc_id: str, bounded: b
     if bounded:
         matched = long.join(F.broadcast(vocabulary.select("term", "idf").limit(BROADCAST_TERMS)), "term")
     else:
-        matched = spread_join(long, vocabulary.select("term", "idf", "df"), "term", doc_id, "df")
+        matched = spread_join(long, vocabulary.select("term", "idf", "df"), "term", doc_id, "df", unique=True)
     weighted = matched.select(
         doc_id, F.struct("term", ((1 + F.log("tf")) * F.col("idf")).alias("w")).alias("e"))
     # One group is one document: its size is that of the text itself.

@@ -5,8 +5,12 @@ Each recipe is one text rendered for Spark or for the oracle, so both read the s
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from rostra.session import spread
+
 ROLE = ["Data Scientist", "Web Developer", "HR Manager", "Accountant", "DevOps Engineer"]
 SKILL = ["python", "sql", "pandas", "statistics", "nlp", "machine learning", "javascript", "react", "html", "css",
          "rest api", "git", "recruitment", "payroll", "leadership", "accounting", "taxation", "auditing", "excel",
@@ -83,6 +87,8 @@ def recipes(spark: bool) -> dict[str, str]:
 TABLES = ["nation", "customer", "orders", "supplier", "documents", "benchmark", "events", "embeddings", "labels",
           "conversations"]
 
+TEXT_TABLES = {"documents": "doc_id", "customer": "c_custkey", "orders": "o_orderkey"}
+
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table (or raw table) as a DataFrame. Nested views and tables are substituted by name."""
@@ -92,7 +98,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
            "v_resume_category": ["documents"], "v_corpus": ["documents"], "v_question": ["benchmark", "documents"],
            "v_usage_log": ["events"]}
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table, TEXT_TABLES[name]) if name in TEXT_TABLES else table
     inputs = {n: view(spark, sf_dir, n) for n in needed + raw.get(name, [])}
     query = texts[name]
     for n in inputs:
@@ -101,7 +108,6 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _substitute(query: str, table: str) -> str:
-    import re
     return re.sub(rf"(?<=FROM |JOIN ){table}\b", "{" + table + "}", query)
 
 
