@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rostra import constants as K
+from rostra.functions import text as tx
 from rostra.functions.skills import extract_skills
 from rostra.operators import features, loading, tfidf
 from rostra.plans import screening
+from rostra.session import materialize
 from rostra.sources.fixtures import view
 
 SENSITIVE = ["age", "segment"]
@@ -54,25 +56,27 @@ def corpus(rows: DataFrame, spark: SparkSession, sf: str) -> tuple[DataFrame, Da
     return c, j
 
 
-def counted_corpus(rows: DataFrame, spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    from rostra.functions import text as tx
-    c, j = corpus(rows, spark, sf)
-    count = lambda df: tfidf.count_terms(df, tx.clean(F.col("text"))).drop("text")
-    return count(c), count(j)
-
-
-def fitted(rows: DataFrame, spark: SparkSession, sf: str):
-    """Vocabulary of the rows (duplicates counted) and the counted texts."""
-    c, j = counted_corpus(rows, spark, sf)
-    both = c.select("terms", "counts", "mult").unionByName(j.select("terms", "counts", "mult"))
+def fitted(rows: DataFrame, spark: SparkSession, sf: str, fit_on: Column | None = None):
+    """Vocabulary of the rows (duplicates counted) and the counted texts.
+
+    Counting terms is the costly pass over the texts: it is written once and read for the fit and both transforms.
+    ``fit_on`` limits the rows the vocabulary is fitted on.
+    """
+    slim = rows.select("candidate_id", "job_id", F.coalesce(fit_on, F.lit(False)).alias("fit") if fit_on is not None else F.lit(True).alias("fit"))
+    counted = []
+    for table, key, text in (("v_candidate", "candidate_id", "resume"), ("v_job", "job_id", "job_description")):
+        weights = slim.groupBy(key).agg(F.sum(F.col("fit").cast("bigint")).alias("mult"))
+        texts = view(spark, sf, table).select(key, F.col(text).alias("text")).join(weights, key)
+        counted.append(materialize(tfidf.count_terms(texts, tx.clean(F.col("text"))).drop("text"), "counted"))
+    c, j = counted
+    both = c.select("terms", "counts", "mult").unionByName(j.select("terms", "counts", "mult")).where("mult > 0")
     vocabulary = tfidf.fit(both, tfidf.document_count(both, "mult"), weight="mult")
-    return vocabulary, c, j
+    return materialize(vocabulary, "vocabulary"), c, j
 
 
-def feature_table(rows: DataFrame, fit_rows: DataFrame, spark: SparkSession, sf: str, keep: list[str]) -> DataFrame:
+def feature_table(rows: DataFrame, spark: SparkSession, sf: str, keep: list[str], fit_on: Column | None = None) -> DataFrame:
     """The fifteen features of the rows; every distinct resume and job is parsed once."""
-    vocabulary, _, _ = fitted(fit_rows, spark, sf)
-    c, j = counted_corpus(rows, spark, sf)
+    vocabulary, c, j = fitted(rows, spark, sf, fit_on)
     pairs = tfidf.similarity(
         rows.select("row_id", "candidate_id", "job_id", *keep),
         tfidf.transform(c, vocabulary, "candidate_id"), tfidf.transform(j, vocabulary, "job_id"), "candidate_id", "job_id")
@@ -85,8 +89,14 @@ def feature_table(rows: DataFrame, fit_rows: DataFrame, spark: SparkSession, sf:
     return features.add_pair_features(joined).select("row_id", *keep, *K.FEATURE_NAMES)
 
 
+def slim_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The loaded rows without their texts, written once: several branches start from them."""
+    return materialize(loaded(spark, sf).select(
+        "row_id", "candidate_id", "job_id", "label", "sensitive_age", "sensitive_segment"), "loaded")
+
+
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled applications with a given probability: ``(row_id, job_id, label, prob, predicted, sensitive_*)``."""
     prob = F.pmod(F.col("row_id") * 7919 + 42, F.lit(1009)) / F.lit(1008.0)
-    return loaded(spark, sf).select("row_id", "job_id", "label", prob.alias("prob"), (prob >= 0.5).cast("int").alias("predicted"),
+    return slim_loaded(spark, sf).select("row_id", "job_id", "label", prob.alias("prob"), (prob >= 0.5).cast("int").alias("predicted"),
                                     "sensitive_age", "sensitive_segment")

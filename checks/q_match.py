@@ -137,13 +137,13 @@ TFIDF = q.SCREENING + "," + GRAMS
 
 @query("tfidf_fit", TFIDF + "SELECT term, df, cf, round(idf, 9) AS idf FROM vocab")
 def tfidf_fit(spark, sf):
-    v, _, _ = data.fitted(data.loaded(spark, sf), spark, sf)
+    v, _, _ = data.fitted(data.slim_loaded(spark, sf), spark, sf)
     return v.withColumn("idf", F.round("idf", 9))
 
 
 @query("tfidf_transform", TFIDF + "SELECT d, term, round(w, 9) AS weight FROM unit")
 def tfidf_transform(spark, sf):
-    v, c, j = data.fitted(data.loaded(spark, sf), spark, sf)
+    v, c, j = data.fitted(data.slim_loaded(spark, sf), spark, sf)
     both = c.select(F.concat(F.lit("c"), F.col("candidate_id").cast("string")).alias("d"), "terms", "counts").unionByName(
         j.select(F.concat(F.lit("j"), F.col("job_id").cast("string")).alias("d"), "terms", "counts"))
     u = tfidf.transform(both, v, "d")
@@ -160,7 +160,7 @@ rsim AS (SELECT l.*, coalesce(s, 0.0) AS sim FROM loaded l LEFT JOIN psim USING
 
 @query("tfidf_similarity", TFIDF + SIMS + "SELECT row_id, round(sim, 9) AS tfidf_similarity FROM rsim")
 def tfidf_similarity(spark, sf):
-    rows = data.loaded(spark, sf)
+    rows = data.slim_loaded(spark, sf)
     v, c, j = data.fitted(rows, spark, sf)
     out = tfidf.similarity(rows.select("row_id", "candidate_id", "job_id"), tfidf.transform(c, v, "candidate_id"),
                            tfidf.transform(j, v, "job_id"), "candidate_id", "job_id")
@@ -184,8 +184,7 @@ ROUNDED = ["tfidf_similarity", "skill_coverage", "skill_jaccard", "role_title_in
 
 
 def feature_rows(spark, sf, keep=("label",)):
-    rows = data.loaded(spark, sf)
-    return data.feature_table(rows, rows, spark, sf, list(keep))
+    return data.feature_table(data.slim_loaded(spark, sf), spark, sf, list(keep))
 
 
 @query("features_pair", FEATS + "SELECT row_id, " + ", ".join(f"round({f}, 9) AS {f}" if f in ROUNDED else f for f in K.FEATURE_NAMES) + " FROM feats")

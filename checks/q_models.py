@@ -15,11 +15,10 @@ from rostra.session import materialize, scratch_path
 @once
 def training_table(spark, sf):
     """Features of the labelled applications with split and fold; written once, read by every fit."""
-    rows = data.loaded(spark, sf).select("row_id", "candidate_id", "job_id", "label", "sensitive_age", "sensitive_segment")
-    split = materialize(loading.stratified_split(rows, "label", "row_id"), "split")
+    split = materialize(loading.stratified_split(data.slim_loaded(spark, sf), "label", "row_id"), "split")
     train_rows = split.where("split = 'train'")
     folds = loading.stratified_folds(train_rows.select("row_id", "label"), "label", "row_id").select("row_id", "fold")
-    feats = data.feature_table(split, train_rows, spark, sf, ["label", "split", "sensitive_age", "sensitive_segment"])
+    feats = data.feature_table(split, spark, sf, ["label", "split", "sensitive_age", "sensitive_segment"], F.col("split") == "train")
     return materialize(feats.join(folds, "row_id", "left"), "features")
 
 

@@ -24,6 +24,7 @@ from rostra.functions.vectors import unit
 
 PARALLEL_FITS = 4
 ROWS_PER_TASK = 5000
+TOLERANCE = 1e-4  # fixed value: stopping tolerance of the linear models
 LR, RF, GBT, DEEP = "Logistic Regression", "Random Forest", "Gradient Boosting", "Boosted deep"
 
 
@@ -59,7 +60,7 @@ def shortlist_models(rows: int, tree_scale: float = 1.0) -> dict[str, Pipeline]:
         LR: Pipeline(stages=[
             assembler(), StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
             LogisticRegression(labelCol="label", featuresCol="features", maxIter=2000, regParam=1.0 / max(rows, 1),
-                               standardization=False, **weights)]),
+                               tol=TOLERANCE, standardization=False, **weights)]),
         RF: Pipeline(stages=[assembler(), copy, RandomForestClassifier(
             numTrees=trees(300), maxDepth=12, minInstancesPerNode=3, **common, **weights)]),
         GBT: Pipeline(stages=[assembler(), copy, GBTClassifier(**boosted, **common)]),
@@ -188,8 +189,9 @@ def category_models(rows: int) -> dict[str, object]:
     return {
         "Multinomial NB": NaiveBayes(smoothing=0.1, modelType="multinomial", **common),
         "Logistic Regression": LogisticRegression(family="multinomial", regParam=1.0 / (5 * max(rows, 1)), maxIter=3000,
-                                                  standardization=False, **common),
-        "Linear SVM": OneVsRest(classifier=LinearSVC(regParam=1.0 / max(rows, 1), standardization=False, **common),
+                                                  tol=TOLERANCE, standardization=False, **common),
+        "Linear SVM": OneVsRest(classifier=LinearSVC(regParam=1.0 / max(rows, 1), maxIter=1000, tol=TOLERANCE,
+                                                     standardization=False, **common),
                                 parallelism=PARALLEL_FITS, **common),
     }
 
