@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rostra import constants as K
 from rostra.operators import metrics, tfidf
-from rostra.session import materialize
+from rostra.session import materialize, spread
 from rostra.functions import text as tx
 from rostra.functions.binding import let
 from rostra.functions.vectors import unit
@@ -62,14 +62,14 @@ def shortlist_models(rows: int, tree_scale: float = 1.0) -> dict[str, Pipeline]:
             LogisticRegression(labelCol="label", featuresCol="features", maxIter=2000, regParam=1.0 / max(rows, 1),
                                tol=TOLERANCE, standardization=False, **weights)]),
         RF: Pipeline(stages=[assembler(), copy, RandomForestClassifier(
-            numTrees=trees(300), maxDepth=12, minInstancesPerNode=3, **common, **weights)]),
+            numTrees=trees(300), maxDepth=12, minInstancesPerNode=3, maxMemoryInMB=1024, **common, **weights)]),
         GBT: Pipeline(stages=[assembler(), copy, GBTClassifier(**boosted, **common)]),
         DEEP: Pipeline(stages=[assembler(), copy, GBTClassifier(**deep, **common)]),
     }
 
 
 def fit_shortlist(train: DataFrame, name: str, tree_scale: float = 1.0) -> PipelineModel:
-    weighted = add_class_weights(train).persist()
+    weighted = add_class_weights(spread(train, "row_id")).persist()
     try:
         return shortlist_models(weighted.count(), tree_scale)[name].fit(weighted)
     finally:
@@ -87,7 +87,7 @@ def predict(model: PipelineModel, features: DataFrame, threshold: float = K.SHOR
 def cross_validated_f1(train: DataFrame, name: str, fold: str = "fold", tree_scale: float = 1.0,
                        parallelism: int = 2) -> tuple[float, float]:
     """Mean and population deviation of F1 over the given folds."""
-    weighted = add_class_weights(train).persist()
+    weighted = add_class_weights(spread(train, "row_id")).persist()
     try:
         pipeline = shortlist_models(weighted.count(), tree_scale)[name]
         folds = weighted.agg(F.max(fold)).first()[0] + 1
