@@ -62,7 +62,7 @@ def txt_sentences(spark, sf):
 SELECT text_id, len(s) AS words, len(g) AS grams, md5(coalesce(array_to_string(g, '|'), '')) AS content
 FROM (SELECT text_id, s, {q.grams('s')} AS g FROM (SELECT text_id, {q.tokens('text')} AS s FROM v_texts))""")
 def txt_tokens(spark, sf):
-    t = data.texts(spark, sf).withColumn("s", tx.word_tokens(F.col("text"), tfidf.english_stop_words()))
+    t = data.texts(spark, sf).withColumn("s", tx.word_tokens(F.col("text"), K.STOP_WORDS))
     t = t.withColumn("g", tx.with_bigrams(F.col("s")))
     return t.select("text_id", F.size("s").alias("words"), F.size("g").alias("grams"), F.md5(F.array_join("g", "|")).alias("content"))
 

@@ -3,11 +3,6 @@
 from __future__ import annotations
 
 import re
-import zipfile
-from functools import lru_cache
-from pathlib import Path
-
-import pyspark
 
 from rostra import constants as K
 from rostra.functions.text import WS, WS_CHARS
@@ -20,17 +15,8 @@ def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-@lru_cache
-def stop_words() -> tuple[str, ...]:
-    """Spark's English stop words, read from its own jar so that no session is needed."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf8").split("\n")
-    return tuple(sorted({w for w in words if re.fullmatch(r"\w{2,}", w)}))
-
-
 def stop_list() -> str:
-    return "[" + ", ".join(lit(w) for w in stop_words()) + "]"
+    return "[" + ", ".join(lit(w) for w in sorted(set(K.STOP_WORDS))) + "]"
 
 
 def rep(x: str, pattern: str, to: str) -> str:

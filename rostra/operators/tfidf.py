@@ -5,9 +5,9 @@ idf(t) = ln((1 + n) / (1 + df(t))) + 1, weight = (1 + ln tf) * idf, rows scaled
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rostra import constants as K
 from rostra.functions import text as tx, vectors as vec
 from rostra.operators.skew import spread_join
 
@@ -17,14 +17,9 @@ BROADCAST_TERMS = 100000
 RARE_IDF = 1.4054651081081644  # ln(3 / 2) + 1: a term found in one of two texts
 
 
-def english_stop_words() -> list[str]:
-    """The English stop words Spark ships; pass another list where a different one is wanted."""
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 def count_terms(docs: DataFrame, text: Column, bigrams: bool = True, stop_words: list[str] | None = None) -> DataFrame:
     """Add ``terms`` and ``counts`` arrays for a text column. Runs inside the row, no shuffle."""
-    stop_words = english_stop_words() if stop_words is None else stop_words
+    stop_words = K.STOP_WORDS if stop_words is None else stop_words
     tokens = docs.withColumn("__tokens", tx.word_tokens(text, stop_words))
     grams = tx.with_bigrams(F.col("__tokens")) if bigrams else F.col("__tokens")
     return vec.add_term_counts(tokens, grams).drop("__tokens")

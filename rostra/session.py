@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,7 +26,11 @@ def build_session(app_name: str = "rostra", master: str | None = None, **conf: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where unset."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a temporary folder; on a cluster that is an error, because every executor
+    would write to its own disk.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if named:
@@ -33,6 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context.getCheckpointDir() is None:
+        if not re.match(r"local(\[[^\]]*\])?$", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="rostra-checkpoint-"))
     return context.getCheckpointDir()
 
