@@ -11,6 +11,7 @@ from rostra.llm.bpe import encode
 from rostra.llm.common import documents
 from rostra.llm.exact_dedup import exact_dedup
 from rostra.llm.language_id import language_id
+from rostra.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +44,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_bpe")
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), digests=True)
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir))
