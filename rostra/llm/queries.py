@@ -11,6 +11,7 @@ from rostra.llm.bpe import encode
 from rostra.llm.common import documents
 from rostra.llm.exact_dedup import exact_dedup
 from rostra.llm.language_id import language_id
+from rostra.llm.license_scan import license_scan
 from rostra.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +50,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir))
