@@ -12,6 +12,7 @@ from rostra.llm.common import documents
 from rostra.llm.exact_dedup import exact_dedup
 from rostra.llm.language_id import language_id
 from rostra.llm.license_scan import license_scan
+from rostra.llm.lm_score import lm_score
 from rostra.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +56,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan")
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
+
+
+@query("op3_lm_scoring")
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
