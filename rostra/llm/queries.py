@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rostra.llm.bpe import encode
 from rostra.llm.common import documents
 from rostra.llm.exact_dedup import exact_dedup
+from rostra.llm.imatch import edited_fingerprints
 from rostra.llm.language_id import language_id
 from rostra.llm.license_scan import license_scan
 from rostra.llm.lm_score import lm_score
@@ -61,3 +62,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_lm_scoring")
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, sf_dir))
