@@ -14,6 +14,7 @@ from rostra.llm.imatch import edited_fingerprints
 from rostra.llm.language_id import language_id
 from rostra.llm.license_scan import license_scan
 from rostra.llm.lm_score import lm_score
+from rostra.llm.packing import best_fit_packing
 from rostra.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +68,8 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_fingerprints")
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir))
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(documents(spark, sf_dir))
