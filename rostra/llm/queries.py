@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostra.llm.bpe import encode
 from rostra.llm.common import documents
@@ -13,6 +13,7 @@ from rostra.llm.exact_dedup import exact_dedup
 from rostra.llm.imatch import edited_fingerprints
 from rostra.llm.language_id import language_id
 from rostra.llm.license_scan import license_scan
+from rostra.llm.line_dedup import line_dedup
 from rostra.llm.lm_score import lm_score
 from rostra.llm.packing import best_fit_packing
 from rostra.llm.simhash import simhash_components
@@ -73,3 +74,9 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_best_fit_packing")
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(documents(spark, sf_dir))
+
+
+@query("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
