@@ -17,6 +17,7 @@ from rostra.llm.line_dedup import line_dedup
 from rostra.llm.lm_score import lm_score
 from rostra.llm.packing import best_fit_packing
 from rostra.llm.simhash import simhash_components
+from rostra.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +81,8 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir), with_text=False)
