@@ -312,6 +312,15 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        .withColumn("key", F.col("key").cast("long")).drop("th"), "keyed")
 
 
+def _keep(text: bytes, stretches: list[dict] | None) -> tuple[bytes, int, int]:
+    """What is left of a text, how many bytes went, and in how many runs."""
+    if not stretches:
+        return text, 0, 0
+    lo, hi = (np.array([s[k] for s in stretches], np.int64) for k in ("lo", "hi"))
+    _, lo, hi = _merge(np.zeros(len(lo), np.int64), lo, hi)
+    return b"".join(text[a:b] for a, b in zip([0, *hi.tolist()], [*lo.tolist(), len(text)])), int((hi - lo).sum()), len(lo)
+
+
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, with ``with_text``, the remaining bytes ``kept``.
 
@@ -326,21 +335,41 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_t
     rows in any order, and each comes back. Other columns are not read.
     """
     rows = _keyed(docs.select("doc_id", "text"))
-    found = repeated_stretches(rows.select("key", "text"), length, seed)
+    joined = rows.join(repeated_stretches(rows.select("key", "text"), length, seed), "key", "left").select("doc_id", "text", "stretches")
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, stretches in zip(batch.column("text").to_pylist(), batch.column("stretches").to_pylist()):
-                lo, hi = (np.array([s[k] for s in stretches or ()], np.int64) for k in ("lo", "hi"))
-                _, lo, hi = _merge(np.zeros(len(lo), np.int64), lo, hi)
-                kept = b"".join(text[a:b] for a, b in zip([0, *hi.tolist()], [*lo.tolist(), len(text)]))
-                out.append((len(text), int((hi - lo).sum()), len(lo), hashlib.sha256(kept).hexdigest(), kept))
+                kept, n_removed, n_spans = _keep(text, stretches)
+                out.append((len(text), n_removed, n_spans, hashlib.sha256(kept).hexdigest(), kept))
             columns = list(zip(*out)) if out else [()] * 5
             kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, k) for x, k in zip(columns, kinds))][:5 + with_text], names=names)
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:5 + with_text]
-    joined = rows.join(found, "key", "left").select("doc_id", "text", "stretches")
     return in_partitions(joined, work, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+    """The documents with their repeated bytes taken out of ``text``; ``n_chars`` follows where there is one, other columns stay.
+
+    Where a removed stretch begins or ends inside a character, what is left of that character goes too. A document of which nothing
+    is left keeps its row with an empty text; a missing text stays missing.
+    """
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given"))
+    rows = _keyed(packed)
+    joined = rows.join(repeated_stretches(rows.select("key", "text"), length, seed), "key", "left")
+    schema = packed.select("given").schema.add("left", "string")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = [_keep(t, s)[0].decode("utf-8", "ignore") if s else None for t, s in zip(*(batch.column(c).to_pylist() for c in ("text", "stretches")))]
+            yield pa.RecordBatch.from_arrays([batch.column("given"), pa.array(left, pa.string())], names=["given", "left"])
+
+    done = joined.select("text", "stretches", "given").mapInArrow(work, schema)
+    text = F.coalesce("left", "given.text")
+    changed = {"text": text, "n_chars": F.when(F.col("left").isNull(), F.col("given.n_chars")).otherwise(F.length("left"))
+               .cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return done.select(*[(changed[c] if c in changed else F.col("given").getField(c)).alias(c) for c in docs.columns])
