@@ -61,15 +61,15 @@ class WordBpe:
         self.inner = {t: i for t, i in vocab.items() if not t.endswith(self.suffix)}
         self.longest, self.longest_last = max(map(len, self.inner)), max(map(len, self.last))
         self.letters = byte_letters()
-        self.known: dict[str, tuple[bytes, str]] = {}  # of words
-        self.seen: dict[str, tuple[bytes, str]] = {}  # of chunks between blanks
+        self.known: dict[str | int, tuple[bytes, str]] = {}  # of words
+        self.seen: dict[str | int, tuple[bytes, str]] = {}  # of chunks between blanks
 
-    def chunks(self, text: str) -> list[str]:
-        """A text, lower-cased and in composed form, cut at blanks, which no word spans; special tokens stand alone."""
-        out: list[str] = []
+    def chunks(self, text: str) -> list[str | int]:
+        """A text, lower-cased and in composed form, cut at blanks, which no word spans; special tokens as their ids."""
+        out: list[str | int] = []
         for part in self.marks.split(text) if self.marks else [text]:
             if part in self.special:
-                out.append(part)
+                out.append(self.special[part])
                 continue
             if not part.isascii():
                 # Letter by letter, so that a sigma at a word's end is no special case.
@@ -166,14 +166,14 @@ class WordBpe:
         """Token texts with a space between them, as the file names no decoder; unknown ids give nothing."""
         return " ".join(self.text[i] for i in ids if i in self.text)
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str | int]) -> None:
         """Remember the ids and the decoded text of new chunks, encoding the words that are new in them."""
-        cut = [[c] if c in self.special else self.words.findall(c) for c in chunks]
+        cut = [[c] if isinstance(c, int) else self.words.findall(c) for c in chunks]
         new = list({w for words in cut for w in words if w not in self.known})
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known, new = {}, list({w for words in cut for w in words})
-        plain = [w for w in new if w not in self.special]
-        for word, ids in [*zip(plain, self.encode_words(plain)[0]), *((w, [self.special[w]]) for w in new if w in self.special)]:
+        plain = [w for w in new if not isinstance(w, int)]
+        for word, ids in [*zip(plain, self.encode_words(plain)[0]), *((w, [w]) for w in new if isinstance(w, int))]:
             self.known[word] = (np.array(ids, "<u4").tobytes(), self.decode(ids))
         for chunk, words in zip(chunks, cut):
             found = [self.known[w] for w in words]
