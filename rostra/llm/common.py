@@ -54,3 +54,16 @@ def batches_of(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[
         held += int(n)
     if start < len(batch):
         yield batch.slice(start)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``rows``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()

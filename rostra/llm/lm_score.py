@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rostra.llm.common import in_partitions, remainder
+from rostra.llm.common import gathered, in_partitions, remainder
 from rostra.llm.lattice import Pieces
 from rostra.session import materialize
 
@@ -20,7 +20,7 @@ ROUNDS = 2
 SMOOTHING = 0.1
 MODELS = 16  # components of the mixture
 HOT_SHARE = 5e-7  # words with this share of the training tokens, at most two million, are kept in memory
-WORDS_AT_ONCE = 20_000
+WORDS_AT_ONCE = 50_000
 COUNTED_AT_ONCE = 400_000
 ROWS_AT_ONCE = 50_000
 LN10 = math.log(10)
@@ -86,13 +86,11 @@ def fit_scores(counts: DataFrame, texts: np.ndarray, pieces: list[bytes], rounds
 
         def work(batches: Iterator[pa.RecordBatch], table=table, size=len(pieces)) -> Iterator[pa.RecordBatch]:
             lattice, expected = table.value, np.zeros((size, models))
-            for batch in batches:
-                for at in range(0, len(batch), WORDS_AT_ONCE):
-                    part = batch.slice(at, WORDS_AT_ONCE)
-                    times = part.column("c").flatten().to_numpy().reshape(len(part), models)
-                    which, model = np.nonzero(times)
-                    words = part.column("word").to_pylist()
-                    lattice.expect([b" " + words[k] for k in which.tolist()], model, times[which, model].astype(float), expected)
+            for batch in gathered(batches, WORDS_AT_ONCE):
+                times = batch.column("c").flatten().to_numpy().reshape(len(batch), models)
+                which, model = np.nonzero(times)
+                words = batch.column("word").to_pylist()
+                lattice.expect([b" " + words[k] for k in which.tolist()], model, times[which, model].astype(float), expected)
             which, model = np.nonzero(expected)
             yield pa.RecordBatch.from_arrays([pa.array(which), pa.array(model), pa.array(expected[which, model])], names=["piece", "model", "n"])
 
@@ -146,7 +144,7 @@ def lm_score(docs: DataFrame, model_file: str, mod: int = 7, held: int = 2, roun
 
     def lattice_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = table.value
-        for batch in batches:
+        for batch in gathered(batches, WORDS_AT_ONCE):
             lp = lattice.log_probability([b" " + w for w in batch.column("word").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("all"), *(pa.array(x) for x in lp.T)], names=["word", "all", *lp_names])
 
@@ -189,16 +187,14 @@ def lm_score(docs: DataFrame, model_file: str, mod: int = 7, held: int = 2, roun
 
     def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = table.value
-        for whole in batches:
-            for at in range(0, len(whole), WORDS_AT_ONCE):
-                batch = whole.slice(at, WORDS_AT_ONCE)
-                words = batch.column("word").to_pylist()
-                place = {w: i for i, w in enumerate(dict.fromkeys(words))}
-                lp = lattice.log_probability([b" " + w for w in place])[[place[w] for w in words]]
-                times, c = batch.column("times").to_numpy(), batch.column("all").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), pa.array(np.where(c > 0, times, 0)), pa.array(times * np.log10(c + 1.0)),
-                     *(pa.array(x) for x in (times[:, None] * lp).T)], names=["row", "known", "base", *lp_names])
+        for batch in gathered(batches, 3 * WORDS_AT_ONCE):  # the join has sorted them by word
+            words = batch.column("word").to_pylist()
+            place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+            lp = lattice.log_probability([b" " + w for w in place])[[place[w] for w in words]]
+            times, c = batch.column("times").to_numpy(), batch.column("all").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(np.where(c > 0, times, 0)), pa.array(times * np.log10(c + 1.0)),
+                 *(pa.array(x) for x in (times[:, None] * lp).T)], names=["row", "known", "base", *lp_names])
 
     split = materialize(in_partitions(rows.select("doc_id", "text", "held_out"), near, f"row long, doc_id {id_type}, held_out boolean, "
                                       f"word binary, times long, known long, base double, {lp_kinds}"), "scored")
