@@ -113,7 +113,7 @@ def src_jsonl_log(spark, sf):
 def src_eval_json(spark, sf):
     path = scratch_path(spark, "questions")
     body = F.to_json(F.struct("question", F.col("expected_doc").cast("string").alias("expected_doc")))
-    v = view(spark, sf, "v_question").select(F.pmod("question_id", F.lit(4)).alias("part"), body.alias("b"))
+    v = view(spark, sf, "v_question").select(F.floor(F.col("question_id") / 500).alias("part"), body.alias("b"))
     arrays = v.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("b"), ",\n"), F.lit("\n]")).alias("value"))
     arrays.repartition("part").select("part", "value").write.partitionBy("part").text(path)
     # Each part folder may hold one JSON array; arrays are read item by item.

@@ -158,12 +158,12 @@ from rostra.sources.fixtures import SKILL  # noqa: E402
 
 @query("join_vocab", q.TEXTS + f"SELECT text_id, {q.joined(q.skills('text', sorted(set(K.BASE_SKILLS) | set(SKILL))))} AS skills FROM v_texts")
 def join_vocab(spark, sf):
-    return sk.add_skills_by_join(data.texts(spark, sf), "text", full_vocabulary(spark, sf), "text_id").select("text_id", "skills")
+    return sk.add_skills(data.texts(spark, sf), "text", full_vocabulary(spark, sf), "text_id").select("text_id", "skills")
 
 
 @query("role_skill_profile", oracle_with("v_screening") + f""",
-top AS (SELECT job_role, count(*) AS rows FROM v_screening GROUP BY job_role ORDER BY rows DESC, job_role LIMIT 40),
-firsts AS (SELECT * FROM (SELECT job_role, row_id, resume, row_number() OVER (PARTITION BY job_role ORDER BY row_id) AS rn FROM v_screening) WHERE rn <= 300),
+top AS (SELECT job_role, count(*) AS rows FROM v_screening GROUP BY job_role),
+firsts AS (SELECT * FROM (SELECT job_role, row_id, resume FROM v_screening)),
 counts AS (SELECT job_role, skill, count(*) AS n FROM (SELECT job_role, unnest({q.skills('resume')}) AS skill FROM firsts) GROUP BY ALL),
 best AS (SELECT job_role, list(skill ORDER BY n DESC, skill) AS l FROM (SELECT *, row_number() OVER (PARTITION BY job_role ORDER BY n DESC, skill) AS rn FROM counts) WHERE rn <= 15 GROUP BY job_role)
 SELECT t.job_role, t.rows, array_to_string(coalesce(b.l, ['communication', 'problem solving']), '|') AS skills FROM top t LEFT JOIN best b USING (job_role)""")

@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
+from rostra import constants as K
+
 BEFORE = r"(?<![a-z0-9])"
 AFTER = r"(?![a-z0-9+#])"
 SPECIAL = set(r"\.^$|?*+()[]{}-#/&~")
@@ -42,6 +44,8 @@ def prefix_pattern(terms: Iterable[str]) -> str:
 
 
 def vocabulary_pattern(terms: Iterable[str]) -> str:
+    """Pattern of a vocabulary; an empty one is replaced by the base skills."""
+    terms = normalise_vocabulary(terms) or K.BASE_SKILLS
     return f"{BEFORE}({prefix_pattern(normalise_vocabulary(terms))}){AFTER}"
 
 

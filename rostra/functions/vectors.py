@@ -27,14 +27,23 @@ def add_term_counts(df: DataFrame, tokens: Column, terms: str = "terms", counts:
         .drop("__sorted", "__start"))
 
 
+def common_weights(left_terms: str, left_weights: str, right_terms: str, right_weights: str) -> Column:
+    """``array<struct<a, b>>``: both weights of each common term, in the order of the terms.
+
+    Each side has a term once, so after one sort of both sides the two entries of a common term are neighbours. Cost is
+    that of the sort, however many terms are common.
+    """
+    def side(terms: str, weights: str, number: int) -> Column:
+        return F.transform(terms, lambda t, i: F.struct(t.alias("t"), F.lit(number).alias("side"), F.get(weights, i).cast("double").alias("w")))
+
+    both = F.sort_array(F.concat(side(left_terms, left_weights, 0), side(right_terms, right_weights, 1)))
+    return let(both, lambda entries: F.filter(F.transform(entries, lambda e, i: F.when(
+        F.get(entries, i + 1)["t"] == e["t"], F.struct(e["w"].alias("a"), F.get(entries, i + 1)["w"].alias("b")))), lambda p: p.isNotNull()))
+
+
 def dot(left_terms: str, left_weights: str, right_terms: str, right_weights: str) -> Column:
-    """Sum of products over the common terms. ``array_intersect`` hashes, so cost is linear in the terms."""
-    common = F.array_intersect(left_terms, right_terms)
-    return F.aggregate(
-        common, F.lit(0.0),
-        lambda acc, t: acc
-        + F.get(left_weights, F.array_position(left_terms, t).cast("int") - 1).cast("double")
-        * F.get(right_weights, F.array_position(right_terms, t).cast("int") - 1).cast("double"))
+    """Sum of products over the common terms."""
+    return F.aggregate(common_weights(left_terms, left_weights, right_terms, right_weights), F.lit(0.0), lambda acc, p: acc + p["a"] * p["b"])
 
 
 def sum_of_squares(weights: Column) -> Column:

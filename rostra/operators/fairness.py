@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rostra import constants as K
 from rostra.functions.numbers import round_scaled
+from rostra.operators.loading import is_numeric
 
 
 def age_group(age: Column) -> Column:
@@ -24,8 +25,7 @@ def group_rates(df: DataFrame, predicted: str, min_rows: int = K.MIN_GROUP_ROWS)
     entries = []
     for column in audited_columns(df):
         attr = column.removeprefix("sensitive_")
-        numeric = isinstance(df.schema[column].dataType, T.NumericType)
-        value = age_group(F.col(column)) if attr == "age" and numeric \
+        value = age_group(F.col(column).try_cast("double")) if attr == "age" and is_numeric(df, column) \
             else F.coalesce(F.col(column).cast("string"), F.lit("nan"))
         entries.append(F.struct(F.lit(attr).alias("attr"), value.alias("grp")))
     return (

@@ -14,10 +14,24 @@ def as_text(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit("nan"))
 
 
+def is_numeric(df: DataFrame, column: str) -> bool:
+    """Whether a column holds numbers: by its type or, as text from a CSV file, because every value that is there parses."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return True
+    if not isinstance(kind, T.StringType):
+        return False
+    value = F.trim(F.col(f"`{column}`"))
+    there = df.where(value.isNotNull() & (value != "") & (F.lower(value) != "nan"))
+    found = there.agg(F.count("*").alias("n"), F.count(value.try_cast("double")).alias("numbers")).first()
+    return found.n > 0 and found.n == found.numbers
+
+
 def binary_label(column: Column, numeric: bool) -> Column:
     """1 / 0 label. Numbers: above zero. Words: looked up in the two word lists, null when in neither."""
     if numeric:
-        return F.when(F.coalesce(column.cast("double"), F.lit(0.0)) > 0, 1).otherwise(0)
+        number = F.nanvl(F.coalesce(column.try_cast("double"), F.lit(0.0)), F.lit(0.0))
+        return F.when(number > 0, 1).otherwise(0)
     word = F.lower(F.trim(as_text(column)))
     return F.when(word.isin(K.POSITIVE_LABELS), 1).when(word.isin(K.NEGATIVE_LABELS), 0)
 
@@ -25,7 +39,7 @@ def binary_label(column: Column, numeric: bool) -> Column:
 def standardise_screening(raw: DataFrame, row_id: str = "row_id") -> DataFrame:
     """Project a table with normalised headers to the screening schema. Sensitive columns only get a prefix."""
     pick = {field: find_column(raw.columns, field) for field in ("resume", "job_description", "label", "job_role")}
-    numeric = isinstance(raw.schema[pick["label"]].dataType, T.NumericType)
+    numeric = is_numeric(raw, pick["label"])
     role = as_text(F.col(pick["job_role"])) if pick["job_role"] else F.lit(K.UNKNOWN_ROLE)
     sensitive = [c for c in K.SENSITIVE_COLUMNS if c in raw.columns]
     return raw.select(

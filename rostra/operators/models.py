@@ -156,10 +156,13 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame
 def text_vectors(docs: DataFrame, vocabulary: DataFrame, doc_id: str, counted: DataFrame) -> DataFrame:
     """Add ``features``: the TF-IDF vector of each document over the numbered vocabulary.
 
-    The vocabulary is capped, so numbering it in one task is bounded by the cap.
+    The vocabulary must have been fitted with a cap of at most MAX_TERMS_CATEGORY terms, so numbering it in one task and
+    broadcasting it are bounded; a larger one is an error.
     """
     numbered = vocabulary.select("term", "idf", (F.row_number().over(Window.orderBy("term")) - 1).alias("i"))
-    size = numbered.agg(F.count("*").alias("n")).first().n
+    size = vocabulary.count()
+    if size > tfidf.MAX_TERMS_CATEGORY:
+        raise ValueError(f"a vocabulary of {size} terms was fitted without a cap")
     long = (counted.select(doc_id, F.explode(F.arrays_zip("terms", "counts")).alias("e"))
             .join(F.broadcast(numbered), F.col("e.terms") == F.col("term"))
             .select(doc_id, F.struct("i", ((1 + F.log(F.col("e.counts"))) * F.col("idf")).alias("w")).alias("t")))

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rostra import constants as K
 from rostra.functions.binding import let
-from rostra.functions.skills import AFTER, BEFORE, SPECIAL, extract_skills
-
-REGEX_LIMIT = 2000
+from rostra.functions.skills import AFTER, BEFORE, SPECIAL
+from rostra.operators.skew import spread_join
+from rostra.session import materialize
 
 
 def mine_skills(texts: DataFrame, text: str, min_freq: int = 3, weight: str | None = None) -> DataFrame:
@@ -31,29 +31,24 @@ def full_vocabulary(base: DataFrame, mined: DataFrame) -> DataFrame:
             .select(F.trim(F.lower("skill")).alias("skill")).where(F.col("skill") != "").distinct())
 
 
-def add_skills(docs: DataFrame, text: str, vocabulary: DataFrame, doc_id: str, name: str = "skills",
-               regex_limit: int = REGEX_LIMIT) -> DataFrame:
-    """Add the sorted skills of each text: one pattern for a small vocabulary, a join for a large one."""
-    head = [r.skill for r in vocabulary.select("skill").limit(regex_limit + 1).collect()]
-    if len(head) <= regex_limit:
-        return docs.withColumn(name, extract_skills(F.col(text), head))
-    return add_skills_by_join(docs, text, vocabulary, doc_id, name)
-
-
 def _escape(term: Column) -> Column:
     specials = "".join("\\" + c for c in sorted(SPECIAL))
     return F.regexp_replace(term, f"([{specials}])", r"\\$1")
 
 
-def add_skills_by_join(docs: DataFrame, text: str, vocabulary: DataFrame, doc_id: str,
-                       name: str = "skills") -> DataFrame:
-    """Match a vocabulary of any size.
+def add_skills(docs: DataFrame, text: str, vocabulary: DataFrame, doc_id: str,
+               name: str = "skills") -> DataFrame:
+    """Match a vocabulary of any size; an empty one is replaced by the base skills.
 
-    Every term is filed under its rarest run of letters and digits. A text can only contain the term if
-    that run is one of its own runs, so an equi-join on runs yields the few candidate terms of a text; the
-    exact matching rules are then applied inside the row with a pattern made of those candidates alone.
+    Every term is filed under its rarest run: of letters a-z and digits, or a single other character. A text can only
+    contain the term if that run is one of its own runs, so an equi-join on runs yields the few candidate terms of a
+    text; the exact matching rules are then applied inside the row with a pattern made of those candidates alone.
     """
-    run = "[a-z0-9]+"
+    run = r"[a-z0-9]+|[^a-z0-9\s]"
+    terms = materialize(vocabulary.select(F.trim(F.lower("skill")).alias("skill")).where(F.col("skill") != "").distinct(), "skills")
+    if terms.limit(1).count() == 0:
+        terms = docs.sparkSession.createDataFrame([(s,) for s in K.BASE_SKILLS], "skill string")
+    vocabulary = terms
     runs = vocabulary.select("skill", F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower("skill"), F.lit(run), 0))).alias("run"))
     frequency = runs.groupBy("run").agg(F.count("*").alias("n"))
@@ -61,7 +56,9 @@ def add_skills_by_join(docs: DataFrame, text: str, vocabulary: DataFrame, doc_id
              .agg(F.min(F.struct("n", "run")).getField("run").alias("run")))
     doc_runs = docs.select(doc_id, F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower(text), F.lit(run), 0))).alias("run"))
-    candidates = (doc_runs.join(filed, "run").groupBy(doc_id)
+    # Runs that very many texts have are spread over many tasks.
+    found_in = doc_runs.join(filed.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count("*").alias("texts"))
+    candidates = (spread_join(doc_runs, filed.join(found_in, "run"), "run", doc_id, "texts").groupBy(doc_id)
                   .agg(F.collect_set("skill").alias("__terms")))
     longest_first = lambda a, b: F.length(b) - F.length(a)
     with_terms = docs.join(candidates, doc_id, "left").withColumn(
@@ -72,15 +69,19 @@ def add_skills_by_join(docs: DataFrame, text: str, vocabulary: DataFrame, doc_id
         name, F.when(F.size("__terms") > 0, found).otherwise(F.array().cast("array<string>"))).drop("__terms")
 
 
-def role_skill_profile(rows: DataFrame, roles: int = 40, first: int = 300, top: int = 15) -> DataFrame:
-    """Commonest skills of the first resumes of the most frequent roles.
+def role_skill_profile(rows: DataFrame, roles: int | None = None, first: int | None = None, top: int = 15) -> DataFrame:
+    """Commonest skills of every role, from all its resumes.
 
-    Input ``(row_id, job_role, skills)``. A role without any skill gets the two fallback skills.
+    Input ``(row_id, job_role, skills)``. A role without any skill gets the two fallback skills. On request only the
+    ``roles`` most frequent roles, and of each the ``first`` resumes.
     """
-    top_roles = (rows.groupBy("job_role").agg(F.count("*").alias("rows"))
-                 .orderBy(F.desc("rows"), "job_role").limit(roles))
-    kept = rows.join(F.broadcast(top_roles), "job_role")
-    in_role = first_n_per_group(kept, "job_role", [F.col("row_id")], first)
+    top_roles = rows.groupBy("job_role").agg(F.count("*").alias("rows"))
+    in_role = rows
+    if roles is not None:
+        top_roles = top_roles.orderBy(F.desc("rows"), "job_role").limit(roles)
+        in_role = rows.join(F.broadcast(top_roles), "job_role", "left_semi")
+    if first is not None:
+        in_role = first_n_per_group(in_role, "job_role", [F.col("row_id")], first)
     counts = in_role.select("job_role", F.explode("skills").alias("skill")).groupBy("job_role", "skill") \
         .agg(F.count("*").alias("n"))
     best = first_n_per_group(counts, "job_role", [F.desc("n"), F.col("skill")], top)

@@ -11,9 +11,9 @@ from rostra import constants as K
 from rostra.functions import text as tx, vectors as vec
 from rostra.operators.skew import spread_join
 
+# Largest vocabularies of the pair features and of the category models, commonest terms first.
 MAX_TERMS_PAIRS = 30000
 MAX_TERMS_CATEGORY = 40000
-BROADCAST_TERMS = 100000
 RARE_IDF = 1.4054651081081644  # ln(3 / 2) + 1: a term found in one of two texts
 
 
@@ -48,16 +48,16 @@ def fit(counted: DataFrame, n_docs: Column, min_df: int = 2, max_terms: int | No
     return vocabulary.withColumn("idf", F.log((1 + n_docs) / (1 + F.col("df"))) + 1)
 
 
-def transform(counted: DataFrame, vocabulary: DataFrame, doc_id: str, bounded: bool = True) -> DataFrame:
+def transform(counted: DataFrame, vocabulary: DataFrame, doc_id: str, max_terms: int | None = MAX_TERMS_PAIRS) -> DataFrame:
     """``(doc_id, terms, weights)``: unit-length sublinear TF-IDF vectors, terms sorted.
 
-    With a capped vocabulary (``bounded``) the vocabulary is broadcast: the cap is the proof of its size.
-    Otherwise postings meet the vocabulary in a join that spreads frequent terms.
+    ``max_terms`` is the cap the vocabulary was fitted with: the proof of its size, so it is broadcast whole. Without
+    a cap (``None``) postings meet the vocabulary in a join that spreads frequent terms.
     """
     long = counted.select(doc_id, F.explode(F.arrays_zip("terms", "counts")).alias("e")) \
         .select(doc_id, F.col("e.terms").alias("term"), F.col("e.counts").alias("tf"))
-    if bounded:
-        matched = long.join(F.broadcast(vocabulary.select("term", "idf").limit(BROADCAST_TERMS)), "term")
+    if max_terms is not None:
+        matched = long.join(F.broadcast(vocabulary.select("term", "idf")), "term")
     else:
         matched = spread_join(long, vocabulary.select("term", "idf", "df"), "term", doc_id, "df", unique=True)
     weighted = matched.select(
@@ -84,17 +84,11 @@ def two_text_similarity(left_terms: str, left_counts: str, right_terms: str, rig
     A common term has idf 1 and any other ``ln(3/2) + 1``, so the lengths follow from the sum of squares of
     each text and that of the common terms: nothing is grouped per pair.
     """
-    both = F.array_intersect(left_terms, right_terms)
-
-    def at(terms: str, counts: str, t: Column) -> Column:
-        return F.get(counts, F.array_position(terms, t).cast("int") - 1).cast("double")
-
     sums = F.aggregate(
-        both, F.struct(F.lit(0.0).alias("ab"), F.lit(0.0).alias("aa"), F.lit(0.0).alias("bb")),
+        vec.common_weights(left_terms, left_counts, right_terms, right_counts),
+        F.struct(F.lit(0.0).alias("ab"), F.lit(0.0).alias("aa"), F.lit(0.0).alias("bb")),
         lambda acc, t: F.struct(
-            (acc["ab"] + at(left_terms, left_counts, t) * at(right_terms, right_counts, t)).alias("ab"),
-            (acc["aa"] + at(left_terms, left_counts, t) * at(left_terms, left_counts, t)).alias("aa"),
-            (acc["bb"] + at(right_terms, right_counts, t) * at(right_terms, right_counts, t)).alias("bb")),
+            (acc["ab"] + t["a"] * t["b"]).alias("ab"), (acc["aa"] + t["a"] * t["a"]).alias("aa"), (acc["bb"] + t["b"] * t["b"]).alias("bb")),
         lambda acc: _cosine(acc, vec.sum_of_squares(F.col(left_counts)), vec.sum_of_squares(F.col(right_counts))))
     return F.coalesce(sums, F.lit(0.0))
 

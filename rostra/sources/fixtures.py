@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostra.session import spread
 
@@ -76,7 +76,7 @@ def recipes(spark: bool) -> dict[str, str]:
         FROM documents"""
     views["v_question"] = """
         SELECT b.item_id AS question_id, b.text AS question, min(d.doc_id) AS expected_doc
-        FROM benchmark b JOIN documents d ON contains(d.text, b.text) GROUP BY b.item_id, b.text"""
+        FROM benchmark b LEFT JOIN documents d ON contains(d.text, b.text) GROUP BY b.item_id, b.text"""
     views["v_usage_log"] = f"""
         SELECT ts, event_type AS purpose, event_type <> 'error' AS ok, cast(floor(value*10) as bigint) AS prompt_chars,
           cast(floor(value) as bigint) AS output_chars, value AS seconds, 'm' || {s('user_id%3')} AS model, event_id
@@ -92,10 +92,12 @@ TEXT_TABLES = {"documents": "doc_id", "customer": "c_custkey", "orders": "o_orde
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table (or raw table) as a DataFrame. Nested views and tables are substituted by name."""
+    if name == "v_question":
+        return questions(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), view(spark, sf_dir, "documents"))
     texts = recipes(spark=True)
     needed = {"v_screening": ["v_application", "v_candidate", "v_job"]}.get(name, [])
     raw = {"v_job": ["nation"], "v_candidate": ["customer"], "v_application": ["orders"], "v_interviewer": ["supplier"],
-           "v_resume_category": ["documents"], "v_corpus": ["documents"], "v_question": ["benchmark", "documents"],
+           "v_resume_category": ["documents"], "v_corpus": ["documents"],
            "v_usage_log": ["events"]}
     if name in TABLES:
         table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -107,6 +109,24 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(query, **inputs)
 
 
+def questions(benchmark: DataFrame, documents: DataFrame) -> DataFrame:
+    """Every benchmark item as a question, with the first document that contains its text, or none.
+
+    Items meet documents on the item's longest inner word, which a document that contains the item has as a word too; items of
+    fewer than three words have the empty word, which is compared with every document only if there are such items.
+    """
+    words = F.split("text", r"[\x20\x09-\x0D]+")
+    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    items = benchmark.select("item_id", F.col("text").alias("item"), F.coalesce(longest, F.lit("")).alias("word"))
+    held = documents.select("doc_id", "text", F.explode(F.array_union(F.array_distinct(words), F.array(F.lit("")))).alias("word"))
+    wanted = held.join(items.select("word").distinct(), "word", "left_semi")
+    first = (wanted.join(items, "word").where(F.col("text").contains(F.col("item")))
+             .groupBy("item_id").agg(F.min("doc_id").alias("expected_doc")))
+    return benchmark.select(F.col("item_id").alias("question_id"), F.col("text").alias("question"), "item_id") \
+        .join(first, "item_id", "left").select("question_id", "question", "expected_doc")
+
+
 def _substitute(query: str, table: str) -> str:
     return re.sub(rf"(?<=FROM |JOIN ){table}\b", "{" + table + "}", query)
 
