@@ -16,9 +16,20 @@ from rostra.streaming import jobs
 @query("stream_usage", LOG_SQL + """ SELECT date_trunc('hour', ts) AS hour, purpose, count(*) AS calls, CAST(sum(prompt_chars) AS BIGINT) AS prompt_chars,
   CAST(sum(output_chars) AS BIGINT) AS output_chars FROM v_usage_log GROUP BY ALL""")
 def stream_usage(spark, sf):
-    log = spark.readStream.schema(io.USAGE_LOG_SCHEMA).option("maxFilesPerTrigger", 2).json(_log_files(spark, sf))
+    """Append mode in three batches: the log; rows far ahead, which close all windows but their own; and rows of the log's first day once
+    more, which are too late and must be dropped."""
+    path = _log_files(spark, sf)
+    first = len(spark.read.text(path).inputFiles())
+    log = spark.read.schema(io.USAGE_LOG_SCHEMA).json(path)
+    ends = log.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    late = log.where(F.col("ts") < F.least(F.lit(ends.a) + F.expr("interval 1 day"), F.lit(ends.b) - F.expr("interval 3 hours")))
+    ahead = log.limit(1).withColumn("ts", F.lit(ends.b) + F.expr("interval 3 days"))
+    # A trigger takes as many files as the log has; files are taken in the order they were written.
+    for batch in [ahead] * first + [late]:
+        batch.coalesce(1).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    stream = spark.readStream.schema(io.USAGE_LOG_SCHEMA).option("maxFilesPerTrigger", first).json(path)
     out = scratch_path(spark, "usage")
-    jobs.run_to_end(jobs.usage_per_hour(log), out, scratch_path(spark, "usage-state"), "complete")
+    jobs.run_to_end(jobs.usage_per_hour(stream), out, scratch_path(spark, "usage-state"))
     return spark.read.parquet(out)
 
 

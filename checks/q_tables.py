@@ -235,7 +235,9 @@ query("join_class_semi", CATEGORY + "SELECT row_id, category FROM cats WHERE cat
     lambda spark, sf: loading.keep_frequent_classes(categories(spark, sf), at_least=50).select("row_id", "category"))
 
 
-@query("sample_rows")
+@query("sample_rows", oracle_with("v_application", "v_job") + """
+SELECT application_id AS row_id, CAST(CASE raw_label WHEN 'Hired' THEN 1 WHEN 'No' THEN 0 END AS BIGINT) AS label, job_role
+FROM v_application JOIN v_job USING (job_id) ORDER BY (application_id * 7919 + 42) % 100003, application_id LIMIT 3000""")
 def sample_rows(spark, sf):
     return loading.sample_rows(data.standard(spark, sf).select("row_id", "label", "job_role"), 3000, "row_id")
 

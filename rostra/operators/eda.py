@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from rostra import constants as K
 from rostra.functions import text as tx
 from rostra.functions.numbers import round_scaled
+from rostra.operators.ordering import add_rank
 
 
 def summary(screening: DataFrame, categories: DataFrame) -> DataFrame:
@@ -56,10 +57,27 @@ def length_histogram(df: DataFrame, text: str, bins: int = 40) -> DataFrame:
             .select("bin", (lo + F.col("bin") * width).alias("bin_start"), F.coalesce("rows", F.lit(0)).alias("rows")))
 
 
+def exact_quantiles(df: DataFrame, groups: list[str], column: str, shares: dict[str, float]) -> DataFrame:
+    """Exact, interpolated quantiles of a column per group: ``shares`` maps new names to shares of the rows.
+
+    Rows are ranked over range partitions, so a group of any size is spread over many tasks; only the two rows around each
+    quantile go on.
+    """
+    ranked = add_rank(df.select(*groups, F.col(column).cast("double").alias("__x")).where("__x is not null"), groups, [F.col("__x")], "__rank", "__size")
+    out = []
+    for name, share in shares.items():
+        place = (F.col("__size") - 1) * F.lit(share)
+        low, high = F.floor(place), F.ceil(place)
+        below = F.max(F.when(F.col("__rank") - 1 == low, F.col("__x")))
+        above = F.max(F.when(F.col("__rank") - 1 == high, F.col("__x")))
+        apart = F.max(place - low)
+        out.append(F.when(apart == 0, below).otherwise((1 - apart) * below + apart * above).alias(name))
+    return ranked.groupBy(*groups).agg(*out)
+
+
 def box_stats(features: DataFrame, column: str, label: str = "label") -> DataFrame:
     """Quartiles and whiskers (the furthest values within 1.5 interquartile ranges) per label."""
-    quartiles = features.groupBy(label).agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = quartiles.select(label, F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("median"), F.get("q", F.lit(2)).alias("q3"))
+    q = exact_quantiles(features, [label], column, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     value = F.col(column)
     return (features.select(label, column).join(F.broadcast(q), label).groupBy(label, "q1", "median", "q3").agg(
@@ -89,10 +107,13 @@ def role_list(screening: DataFrame) -> DataFrame:
 
 def usage_rollup(log: DataFrame) -> DataFrame:
     """Calls, characters and seconds by purpose, model and outcome."""
-    return log.groupBy("purpose", "model", "ok").agg(
+    by = ["purpose", "model", "ok"]
+    sums = log.groupBy(*by).agg(
         F.count("*").alias("calls"), F.sum("prompt_chars").alias("prompt_chars"),
-        F.sum("output_chars").alias("output_chars"), F.round(F.avg("seconds"), 6).alias("avg_seconds"),
-        F.round(F.percentile("seconds", F.lit(0.5)), 6).alias("median_seconds"))
+        F.sum("output_chars").alias("output_chars"), F.round(F.avg("seconds"), 6).alias("avg_seconds"))
+    medians = exact_quantiles(log, by, "seconds", {"median_seconds": 0.5}).select(
+        F.struct(*by).alias("of"), F.round("median_seconds", 6).alias("median_seconds"))
+    return sums.join(medians, F.struct(*by).eqNullSafe(F.col("of")), "left").drop("of")
 
 
 def latest(log: DataFrame, n: int = 50, order: str = "ts", tie: str | None = None) -> DataFrame:

@@ -103,8 +103,8 @@ def keep_frequent_classes(df: DataFrame, column: str = "category", at_least: int
 
 
 def sample_rows(df: DataFrame, n: int, row_id: str, seed: int = K.SEED) -> DataFrame:
-    """``n`` rows in an order fixed by the seed; the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.col(row_id), F.lit(seed)), row_id).limit(n)
+    """``n`` rows in an arithmetic order fixed by the seed; the same rows on every run."""
+    return df.orderBy(shuffle_key(row_id, seed), row_id).limit(n)
 
 
 def shuffle_key(row_id: str, seed: int = K.SEED) -> Column:

@@ -282,3 +282,16 @@ def test_sensitive_columns_are_never_features():
     except ValueError:
         return
     raise AssertionError("a sensitive feature was accepted")
+
+
+def test_late_log_rows_are_dropped(spark, tmp_path):
+    from rostra.streaming import jobs
+    log, schema = str(tmp_path / "log"), "ts timestamp, purpose string, prompt_chars long, output_chars long"
+    batches = [["2024-01-01 10:05:00", "2024-01-01 10:50:00", "2024-01-01 14:00:00"], ["2024-01-02 00:00:00"], ["2024-01-01 10:30:00"]]
+    for stamps in batches:
+        frame = spark.createDataFrame([(t, "ask", 5, 2) for t in stamps], "ts string, purpose string, prompt_chars long, output_chars long")
+        frame.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(log)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(log)
+    jobs.run_to_end(jobs.usage_per_hour(stream), str(tmp_path / "out"), str(tmp_path / "state"))
+    got = rows(spark.read.parquet(str(tmp_path / "out")).select(F.date_format("hour", "dd HH"), "calls", "prompt_chars"), "hour")
+    assert got == [("01 10", 2, 10), ("01 14", 1, 5)]
