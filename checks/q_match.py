@@ -180,6 +180,25 @@ feats AS (SELECT row_id, label, sim AS tfidf_similarity, ov AS skill_overlap, CA
   yrs AS experience_years, ryrs AS required_experience, yrs - ryrs AS experience_gap, certs::DOUBLE AS certifications, words::DOUBLE AS resume_word_count,
   CASE WHEN len(ws) = 0 THEN 0.0 ELSE len(list_filter(ws, lambda w: contains(rc, w)))::DOUBLE / len(ws)::DOUBLE END AS role_title_in_resume FROM o)
 """
+# The rules with the similarity over the fitted vocabulary instead of the two texts', and a given probability.
+_RULES = q.FACTS[q.FACTS.index(",\ncand AS"):].replace(
+    "FROM v_application a JOIN cand c", "FROM (SELECT row_id AS application_id, candidate_id, job_id, NULL AS raw_label FROM loaded) a JOIN cand c").replace(
+    "sims AS (SELECT candidate_id, job_id, ab / sqrt(aa * bb) AS sim FROM norms)", "sims AS (SELECT DISTINCT candidate_id, job_id, sim FROM rsim)")
+
+
+@query("rank_candidates_model", TFIDF + SIMS + _RULES + f""", f AS (SELECT application_id, job_id, round(rule, 1) AS match_score, round({FINAL}, 1) AS final_score,
+  CASE WHEN {FINAL} >= 65 THEN 'Shortlist' WHEN {FINAL} >= 45 THEN 'Hold' ELSE 'Reject' END AS decision FROM rules)
+SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY final_score DESC, application_id) AS rank FROM f""")
+def rank_candidates_model(spark, sf):
+    """The ranking of a trained model: fitted similarity, and a probability for two applications in three."""
+    rows = data.slim_loaded(spark, sf)
+    vocabulary, _, _ = data.fitted(rows, spark, sf)
+    p = F.pmod(F.col("row_id") * 7919 + 42, F.lit(1009)) / F.lit(1008.0)
+    a = rows.select(F.col("row_id").alias("application_id"), "candidate_id", "job_id", F.when(F.col("row_id") % 3 != 0, p).alias("probability"))
+    ranked = screening.rank_candidates(a, view(spark, sf, "v_candidate"), view(spark, sf, "v_job"), probability="probability", fitted=vocabulary)
+    return ranked.select("application_id", "job_id", "match_score", "final_score", "decision", "rank")
+
+
 ROUNDED = ["tfidf_similarity", "skill_coverage", "skill_jaccard", "role_title_in_resume"]
 
 

@@ -73,7 +73,9 @@ def similarity(pairs: DataFrame, resumes: DataFrame, jobs: DataFrame, resume_id:
     """Add the dot product of the resume and job vectors of each pair; 0 where either has no known term."""
     left = resumes.select(resume_id, F.col("terms").alias("__rt"), F.col("weights").alias("__rw"))
     right = jobs.select(job_id, F.col("terms").alias("__jt"), F.col("weights").alias("__jw"))
-    joined = pairs.join(left, resume_id, "left").join(right, job_id, "left")
+    # A job with a large share of the pairs is spread over many tasks.
+    per_job = pairs.groupBy(job_id).agg(F.count("*").alias("__pairs"))
+    joined = spread_join(pairs.join(left, resume_id, "left"), right.join(per_job, job_id), job_id, resume_id, "__pairs", unique=True, how="left")
     return (joined.withColumn(name, F.coalesce(vec.dot("__rt", "__rw", "__jt", "__jw"), F.lit(0.0)))
             .drop("__rt", "__rw", "__jt", "__jw"))
 
