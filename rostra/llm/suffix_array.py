@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from array import array
 
-def suffix_array(text: list[int]) -> list[int]:
+
+def suffix_array(text: list[int]) -> array:
     """Suffix array of ``text``, whose last symbol must be smaller than all others and occur once.
 
     First, suffixes are grouped by their first symbol. From the highest group down, each group extends its previous
@@ -16,8 +18,10 @@ def suffix_array(text: list[int]) -> list[int]:
     """
     n = len(text)
     order = sorted(range(n), key=text.__getitem__)
-    place, group = [0] * n, [0] * n  # of a suffix: its place in the order, and the first place of its group
-    end = [0] * n  # of a group, by its first place: its last place
+    order = array("i", order)
+    none = array("i", [0]) * n
+    place, group = none[:], none[:]  # of a suffix: its place in the order, and the first place of its group
+    end = none[:]  # of a group, by its first place: its last place
     start = 0
     for at, i in enumerate(order):
         if text[i] != text[order[start]]:
@@ -25,7 +29,7 @@ def suffix_array(text: list[int]) -> list[int]:
         place[i] = at
         group[i] = start
         end[start] = at
-    before = [-1] * n  # previous smaller suffix
+    before = array("i", [-1]) * n  # previous smaller suffix
     at = n - 1
     while at >= 0:
         start = group[order[at]]
@@ -76,17 +80,17 @@ def suffix_array(text: list[int]) -> list[int]:
                         group[order[x]] = first
         at = start - 1
     # Emit: free[g] is the next free place of the group that starts at g.
-    free = list(range(n))
-    done = [False] * n
-    out = [0] * n
+    free = array("i", range(n))
+    done = bytearray(n)
+    out = none[:]
     out[0] = n - 1
-    done[n - 1] = True
+    done[n - 1] = 1
     for at in range(n):
         j = out[at] - 1
         while j >= 0 and not done[j]:
             g = group[j]
             out[free[g]] = j
             free[g] += 1
-            done[j] = True
+            done[j] = 1
             j = before[j]
     return out

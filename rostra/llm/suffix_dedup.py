@@ -17,7 +17,7 @@ from rostra.session import materialize
 
 LENGTH = 100  # bytes of a string that counts as repeated
 SEED = 28  # bytes of an anchor
-CHUNK_BYTES = 2 << 20  # text worked on at once
+CHUNK_BYTES = 1 << 20  # text worked on at once
 PIECE_BYTES = 4 << 20  # windows of a longer text are worked on in pieces of so many
 PLACE_BITS = 23  # places within a chunk and a piece
 LEAST_BUCKETS, BUCKET_UNITS = 256, 200_000
@@ -193,8 +193,8 @@ def _match(table: pa.Table, length: int) -> pa.Table:
                                    mask=np.append(np.ones(len(removed[0]), bool), np.zeros(int(edge.sum()), bool)))})
 
 
-def repeated_windows(segments: list[bytes], length: int) -> list[np.ndarray]:
-    """Classes of equal windows of ``length`` bytes over different segments: arrays of ``segment << 32 | place``.
+def window_classes(segments: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of ``length`` bytes over different segments: number of the class of equal ones, segment, place in it.
 
     The suffix array of the segments, each closed by a symbol below all bytes, brings equal windows together; neighbours
     are compared byte by byte.
@@ -202,22 +202,16 @@ def repeated_windows(segments: list[bytes], length: int) -> list[np.ndarray]:
     text = b"".join(s + b"\0" for s in segments)
     closing = np.cumsum([len(s) + 1 for s in segments]) - 1
     data = np.frombuffer(text, np.uint8)
-    symbols = data.astype(np.int64) + 2
+    symbols = np.append(data.astype(np.int64) + 2, 0)
     symbols[closing] = 1
-    order = np.array(suffix_array([*symbols.tolist(), 0]), np.int64)
+    order = np.frombuffer(suffix_array(symbols.tolist()), np.int32)[1:].astype(np.int64)
     room = np.repeat(closing, np.diff(np.append(-1, closing))) - np.arange(len(text))
-    order = order[1:]
     order = order[room[order] >= length]
-    if not len(order):
-        return []
-    windows = np.lib.stride_tricks.sliding_window_view(data, length)
-    step = 1 << 14
-    same = np.concatenate([np.zeros(0, bool), *((windows[a] == windows[b]).all(axis=1) for a, b in (
+    windows, step = np.lib.stride_tricks.sliding_window_view(data, length), 1 << 14
+    same = np.concatenate([np.zeros(min(1, len(order)), bool), *((windows[a] == windows[b]).all(axis=1) for a, b in (
         (order[k:min(k + step, len(order) - 1)], order[k + 1:k + 1 + step]) for k in range(0, len(order) - 1, step)))])
     segment = np.searchsorted(closing, order)
-    start = order - np.append(0, closing[:-1] + 1)[segment]
-    heads = np.flatnonzero(np.append(True, ~same))
-    return [(segment << 32 | start)[a:b] for a, b in zip(heads, [*heads[1:], len(order)])]
+    return np.cumsum(~same), segment, order - np.append(0, closing[:-1] + 1)[segment]
 
 
 def _sort_out(table: pa.Table, length: int) -> pa.Table:
@@ -245,30 +239,37 @@ def _sort_out(table: pa.Table, length: int) -> pa.Table:
     heads = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1))[:len(owner)])
     tails = np.append(heads[1:], len(owner))[:len(heads)] - 1
     # Segments, by anchor; holders of each in the order of the corpus.
-    batch: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+    batch: dict[tuple[int, bytes], list[int]] = {}
     size, out, anchor = 0, [], None
 
     def flush() -> None:
-        segments = [s for _, s in batch]
-        holders = list(batch.values())
-        for found in repeated_windows(segments, length):
-            everywhere = sorted((k, p + int(f & 0xFFFFFFFF)) for f in found.tolist() for k, p in holders[f >> 32])
-            out.extend(everywhere[1:])
-
-    for a, b in zip(heads.tolist(), tails.tolist()):
-        o, s, e = int(owner[a]), int(start[a]), int(start[b]) + length
+        cls, segment, place = window_classes([s for _, s in batch], length)
+        # Each window at all holders of its segment; the first of a class in the order of the corpus stays.
+        held = [np.array(x) for x in batch.values()]
+        many = np.array([len(x) for x in held])
+        run = np.concatenate(held)
+        times = many[segment]
+        which = np.arange(int(times.sum())) + np.repeat((np.cumsum(many) - many)[segment] - np.cumsum(times) + times, times)
+        o = owner[heads[run[which]]]
+        cls, k, p = np.repeat(cls, times), key[o], lo[o] + start[heads[run[which]]] + np.repeat(place, times)
+        order = np.lexsort((p, k, cls))
+        again = order[1:][cls[order[1:]] == cls[order[:-1]]]
+        out.append(_merge(k[again], p[again], p[again] + length))
+
+    for r, (a, b) in enumerate(zip(heads.tolist(), tails.tolist())):
+        o = int(owner[a])
+        segment = texts[o][int(start[a]):int(start[b]) + length]
         if size >= SORTED_BYTES and h[o] != anchor:
             flush()
             batch, size = {}, 0
-        anchor, segment = h[o], texts[o][s:e]
-        held = batch.setdefault((int(h[o]), segment), [])
-        if not held:
+        anchor = h[o]
+        runs = batch.setdefault((int(h[o]), segment), [])
+        if not runs:
             size += len(segment)
-        held.append((int(key[o]), int(lo[o]) + s))
+        runs.append(r)
     if batch:
         flush()
-    pairs = np.array(sorted(set(out)), np.int64).reshape(-1, 2)
-    found = _merge(pairs[:, 0], pairs[:, 1], pairs[:, 1] + length)
+    found = _merge(*(np.concatenate([np.zeros(0, np.int64), *(x[k] for x in out)]) for k in range(3)))
     return pa.table({"key": found[0], "lo": found[1], "hi": found[2]})
 
 
