@@ -299,18 +299,20 @@ def repeated_stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED)
     return stretches.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("stretches"))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Documents with a unique number ``key`` in the order of their ids.
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """Documents with a unique number ``key`` in the order of their ids, and whether that is the id itself.
 
-    The id itself where all ids are there and differ; else the rank by (id, missing ids last; hash of the text).
+    It is where all ids are there and differ; else the key is the rank by (id, missing ids last; hash of the text).
     """
     rows = docs.withColumn("text", F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     integral = docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
     clean = integral and docs.where(F.col("doc_id").isNull()).limit(1).count() == 0 and docs.groupBy("doc_id").count().where("count > 1").limit(1).count() == 0
     if clean:
-        return rows.withColumn("key", F.col("doc_id").cast("long"))
-    return materialize(add_rank(rows.withColumn("th", F.xxhash64("text")), [], [F.col("doc_id").asc_nulls_last(), F.col("th"), F.monotonically_increasing_id()], "key")
-                       .withColumn("key", F.col("key").cast("long")).drop("th"), "keyed")
+        # Both joins with the texts have the same condition, so that one shuffle of the texts serves both.
+        return rows.withColumn("key", F.col("doc_id").cast("long")).where(F.col("key").isNotNull()), True
+    ranked = (add_rank(rows.withColumn("th", F.xxhash64("text")), [], [F.col("doc_id").asc_nulls_last(), F.col("th"), F.monotonically_increasing_id()], "key")
+              .withColumn("key", F.col("key").cast("long")).drop("th"))
+    return materialize(ranked, "keyed"), False
 
 
 def _keep(text: bytes, stretches: list[dict] | None) -> tuple[bytes, int, int]:
@@ -335,9 +337,11 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_t
     A missing text is empty; a missing id comes after all others; rows with one id are ordered by a hash of their text, equal
     rows in any order, and each comes back. Other columns are not read.
     """
-    rows = _keyed(docs.select("doc_id", "text"))
-    joined = rows.join(repeated_stretches(rows.select("key", "text"), length, seed), "key", "left").select("doc_id", "text", "stretches")
+    rows, own = _keyed(docs.select("doc_id", "text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    left = rows.select("key", "text") if own else rows
+    joined = left.join(repeated_stretches(rows.select("key", "text"), length, seed), "key", "left").select(
+        F.col("key").cast(id_type).alias("doc_id") if own else "doc_id", "text", "stretches")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,18 +363,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     Where a removed stretch begins or ends inside a character, what is left of that character goes too. A document of which nothing
     is left keeps its row with an empty text; a missing text stays missing.
     """
-    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given"))
-    rows = _keyed(packed)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    packed = docs.select("doc_id", "text", F.struct(*others, F.col("text").isNull().alias("no text")).alias("given"))
+    rows, _ = _keyed(packed)
     joined = rows.join(repeated_stretches(rows.select("key", "text"), length, seed), "key", "left")
-    schema = packed.select("given").schema.add("left", "string")
+    schema = packed.select("given").schema.add("left", "string").add("cut", "boolean")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = [_keep(t, s)[0].decode("utf-8", "ignore") if s else None for t, s in zip(*(batch.column(c).to_pylist() for c in ("text", "stretches")))]
-            yield pa.RecordBatch.from_arrays([batch.column("given"), pa.array(left, pa.string())], names=["given", "left"])
+            stretches = batch.column("stretches").to_pylist()
+            left = [_keep(t, s)[0].decode("utf-8", "ignore") for t, s in zip(batch.column("text").to_pylist(), stretches)]
+            yield pa.RecordBatch.from_arrays([batch.column("given"), pa.array(left, pa.string()), pa.array([bool(s) for s in stretches])],
+                                             names=["given", "left", "cut"])
 
     done = joined.select("text", "stretches", "given").mapInArrow(work, schema)
-    text = F.coalesce("left", "given.text")
-    changed = {"text": text, "n_chars": F.when(F.col("left").isNull(), F.col("given.n_chars")).otherwise(F.length("left"))
-               .cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    changed = {"text": F.when(~F.col("given").getField("no text"), F.col("left"))}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("cut"), F.length("left")).otherwise(F.col("given.n_chars")).cast(docs.schema["n_chars"].dataType)
     return done.select(*[(changed[c] if c in changed else F.col("given").getField(c)).alias(c) for c in docs.columns])
