@@ -285,15 +285,18 @@ def panel_score(spark, sf):
     return req.join(best, "request").select(F.col("role_key").alias("role"), "target", "need", "best", "most_skills")
 
 
-@query("join_panel", TARGET + """SELECT r.role, array_to_string(r.target, '|') AS target, s.pool_ord, array_to_string(s.ov, '|') AS overlap, max(s.score) AS score FROM sc s JOIN d r USING (rid)
-  WHERE len(s.ov) > 0 AND r.need = 1 AND s.same GROUP BY ALL""")
+@query("join_panel", TARGET + """SELECT r.role, array_to_string(r.target, '|') AS target, s.pool_ord, array_to_string(s.ov, '|') AS overlap, CAST(r.need AS BIGINT) AS need, round(max(s.score), 9) AS score FROM sc s JOIN d r USING (rid)
+  WHERE len(s.ov) > 0 GROUP BY ALL""")
 def join_panel(spark, sf):
-    """Available interviewers of the same role who share a skill with a request."""
-    people = panel.available(view(spark, sf, "v_interviewer")).withColumn("role_key", F.lower("primary_role"))
-    req = panel.requests_of(data.matched(spark, sf)).where("need = 1")
-    j = req.join(people, "role_key").withColumn("overlap", F.array_sort(F.array_intersect("iv_skills", "target"))).where(F.size("overlap") > 0)
-    return j.select(F.col("role_key").alias("role"), "target", "pool_ord", "overlap", panel.panel_score(
-        F.size("overlap"), F.size("target"), F.lit(True), F.col("level"), F.col("need"), F.col("load")).alias("score"))
+    """Every request with all available interviewers who share a skill with it, and their scores."""
+    people = panel.available(view(spark, sf, "v_interviewer")).withColumn("iv_role", F.lower("primary_role"))
+    req = panel.requests_of(data.matched(spark, sf)).withColumn("request", F.sha2(F.to_json(F.struct("role_key", "target", "need")), 256))
+    met = req.select("request", F.explode("target").alias("skill")).join(
+        people.select("pool_ord", F.explode("iv_skills").alias("skill")), "skill").groupBy("request", "pool_ord").agg(F.array_sort(F.collect_set("skill")).alias("overlap"))
+    j = met.join(req, "request").join(people, "pool_ord")
+    same = (F.col("role_key") != "") & (F.col("role_key") == F.col("iv_role"))
+    return j.select(F.col("role_key").alias("role"), "target", "pool_ord", "overlap", "need", F.round(panel.panel_score(
+        F.size("overlap"), F.size("target"), same, F.col("level"), F.col("need"), F.col("load")), 9).alias("score"))
 
 
 def panels(spark, sf):

@@ -79,11 +79,11 @@ def src_alias_columns(spark, sf):
     return out.withColumns({"resume": F.md5("resume"), "job_description": F.md5("job_description")})
 
 
-@query("src_documents", "SELECT md5(text) AS text, count(*) AS files FROM documents WHERE length(text) > 0 GROUP BY 1")
+@query("src_documents", "SELECT md5(coalesce(text, '')) AS text, count(*) AS files FROM documents GROUP BY 1")
 def src_documents(spark, sf):
     """One text file per document in folders per language, read back whole."""
     root = scratch_path(spark, "docs")
-    view(spark, sf, "documents").where("text <> ''").select("lang", "text").write.partitionBy("lang") \
+    view(spark, sf, "documents").select("lang", F.coalesce("text", F.lit("")).alias("text")).write.partitionBy("lang") \
         .option("maxRecordsPerFile", 1).text(root)
     read = io.read_documents(spark, root)
     return read.groupBy(F.md5(F.regexp_replace("text", "\n$", "")).alias("text")).agg(F.count("*").alias("files"))
