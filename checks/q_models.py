@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from checks import data
 from checks.q_tables import categories
@@ -62,7 +62,14 @@ def ml_model_comparison(spark, sf):
 
 @query("sort_models")
 def sort_models(spark, sf):
-    return models.best_first(_comparison(spark, sf, (models.LR,))[0].table).limit(1).select("model", "f1", "roc_auc")
+    """Both model tables, best first: shortlist models by F1 and area, category models by macro F1."""
+    train, test = _train_test(spark, sf)
+    few_trees = models.compare(train, test, [models.LR, models.RF], tree_scale=0.05, with_folds=False).table
+    shortlist = few_trees.select(
+        F.lit("shortlist").alias("kind"), "model", F.row_number().over(Window.orderBy(F.desc("f1"), F.desc("roc_auc"))).alias("place"), "f1")
+    category = models.compare_categories(_category_data(spark, sf), ["Multinomial NB", "Logistic Regression"]).table.select(
+        F.lit("category").alias("kind"), "model", F.row_number().over(Window.orderBy(F.desc("macro_f1"), "model")).alias("place"), F.col("macro_f1").alias("f1"))
+    return shortlist.unionByName(category)
 
 
 @query("sort_importance")
@@ -84,8 +91,11 @@ def sink_models(spark, sf):
     fitted = models.fit_shortlist(train, models.LR)
     path = scratch_path(spark, "model")
     models.save_model(spark, fitted, path, models.LR, K.SHORTLIST_PROBABILITY, {"rows": train.count()},
-                      {r.feature: r.importance for r in models.importance(spark, fitted).collect()})
+                      {r.feature: r.importance for r in models.importance(spark, fitted).collect()},
+                      data.fitted(data.slim_loaded(spark, sf), spark, sf)[0], train.count(), f"{sf}/orders.parquet")
     loaded, about = models.load_model(spark, path)
+    if models.load_vocabulary(spark, path).count() == 0:
+        raise ValueError("the saved model has no vocabulary")
     scored = models.predict(loaded, test.select("row_id", *K.FEATURE_NAMES))
     return scored.select("row_id", "probability", "predicted", about.select("name").scalar().alias("name"))
 

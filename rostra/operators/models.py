@@ -138,18 +138,26 @@ def best_first(comparison: DataFrame) -> DataFrame:
 
 
 def save_model(spark: SparkSession, model: PipelineModel, path: str, name: str, threshold: float,
-               metric_values: dict, importances: dict) -> None:
-    """Model directory with a one-row table beside it: name, threshold, metrics, importances."""
+               metric_values: dict, importances: dict, vocabulary: DataFrame | None = None,
+               trained_rows: int | None = None, source_file: str | None = None) -> None:
+    """Model directory with a one-row table beside it (name, threshold, metrics, importances, feature names, trained rows,
+    source file) and the fitted vocabulary, so that a loaded model can score new texts."""
     model.write().overwrite().save(f"{path}/model")
-    row = [(name, threshold, json.dumps(metric_values), json.dumps(importances))]
-    spark.createDataFrame(row, "name string, threshold double, metrics string, importances string") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+    row = [(name, threshold, json.dumps(metric_values), json.dumps(importances), list(K.FEATURE_NAMES), trained_rows, source_file)]
+    spark.createDataFrame(row, "name string, threshold double, metrics string, importances string, feature_names array<string>, "
+                          "trained_rows long, source_file string").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+    if vocabulary is not None:
+        vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
     return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/about")
 
 
+def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/vocabulary")
+
+
 # --- resume category -----------------------------------------------------------------------------------
 
 
@@ -245,3 +253,20 @@ def top_categories(scored: DataFrame, labels: list[str], k: int = 3) -> Column:
 
 def predicted_category(labels: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in labels]), F.col("prediction").cast("int") + 1)
+
+
+def compare_categories(d: CategoryData, names: list[str] | None = None) -> Comparison:
+    """Fit each category model (or those named) and score it on the test rows; the best has the highest macro F1."""
+    rows, fitted = [], {}
+    for name, estimator in category_models(d.rows).items():
+        if names is not None and name not in names:
+            continue
+        began = time.time()
+        fitted[name] = estimator.fit(d.train)
+        scored = fitted[name].transform(d.test).select("category", predicted_category(d.labels).alias("predicted"))
+        m = metrics.multiclass_metrics(scored, "category", "predicted").first()
+        rows.append((name, m.accuracy, m.macro_f1, m.weighted_f1, time.time() - began))
+    spark = d.train.sparkSession
+    table = spark.createDataFrame(rows, "model string, accuracy double, macro_f1 double, weighted_f1 double, train_seconds double") \
+        .orderBy(F.desc("macro_f1"), "model")
+    return Comparison(table, fitted, table.first().model)
