@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rostra.llm.common import BLANKS, in_partitions
+from rostra.operators.skew import spread_join
 from rostra.session import materialize
 
-RARE_DOCS = 100  # a line is rare if at most so many documents have it
-HOT_SHARE = 1e-4
+ALIGNED_AT_ONCE = 64
 
 
 def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -68,13 +68,14 @@ def line_hashes(docs: DataFrame) -> DataFrame:
     return docs.withColumn("lines", F.transform(lines, lambda x: F.when(x == "", F.lit(0).cast("bigint")).otherwise(F.xxhash64(x))))
 
 
-def line_dedup(docs: DataFrame, rare_docs: int = RARE_DOCS, with_text: bool = True) -> DataFrame:
+def line_dedup(docs: DataFrame, rare_docs: int | None = None, with_text: bool = True) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed array<int>`` of every document and, with ``with_text``, its remaining ``text``.
 
-    Two documents are aligned if they share a line that at most ``rare_docs`` documents have, the earlier being the first that has
-    it; earlier means a smaller id. Aligned common blocks with such a line are deleted from the later document; the
-    earlier one is looked at as it was given. Lines are compared with runs of blanks as one and without those at the ends.
-    All lines of all documents are counted; a line's documents are never listed, each is only tied to the first.
+    Two documents are aligned if they share a line and the earlier is the first that has it; earlier means a smaller id.
+    Aligned common blocks with such a line are deleted from the later document; the earlier one is looked at as it was given.
+    Lines are compared with runs of blanks as one and without those at the ends. All lines of all documents are counted; a
+    line's documents are never listed, each is only tied to the first, so pairs grow with the lines however many documents
+    have one. With ``rare_docs``, only lines that at most so many documents have tie documents together.
 
     A missing text is empty: one line, never removed. Documents with one id are ordered by a hash of their text; rows that repeat
     id and text are one document, aligned once, and come back as often as given. A missing id comes after all others.
@@ -87,22 +88,23 @@ def line_dedup(docs: DataFrame, rare_docs: int = RARE_DOCS, with_text: bool = Tr
     lined = lined.withColumn("doc", key)
     places = lined.select("doc", F.explode(F.array_distinct("lines")).alias("h")).where("h <> 0")
     counts = materialize(places.groupBy("h").agg(F.count("*").alias("n"), F.min("doc").alias("first")), "line_counts")
-    shared = counts.where(F.col("n").between(2, rare_docs)).select("h", "first")
-    # Lines that very many documents have would meet in one task only to be dropped: at most 1 / HOT_SHARE of them.
-    total = F.lit(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    hot = counts.where((F.col("n") > rare_docs) & (F.col("n") > total * F.lit(HOT_SHARE))).select("h")
-    pairs = (places.join(F.broadcast(hot), "h", "left_anti").join(shared, "h").where("doc <> first")
-             .groupBy("doc", "first").agg(F.collect_list("h").alias("rare")))
+    shared = counts.where("n > 1" if rare_docs is None else F.col("n").between(2, rare_docs)).select("h", "first", "n")
+    # Lines that very many documents have, and first documents with very many later ones, are spread over many tasks.
+    tied = spread_join(places, shared, "h", "doc", "n", unique=True).where("doc <> first")
+    pairs = materialize(tied.groupBy("doc", "first").agg(F.collect_list("h").alias("rare")), "line_pairs")
     later = lined.select("doc", F.col("lines").alias("b"))
-    earlier = lined.select(F.col("doc").alias("first"), F.col("lines").alias("a"))
+    earlier = lined.select(F.col("doc").alias("first"), F.col("lines").alias("a")).join(pairs.groupBy("first").agg(F.count("*").alias("n")), "first")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [covered_lines(a, b, set(rare)) for a, b, rare in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "rare")))]
+            found = []
+            for at in range(0, len(batch), ALIGNED_AT_ONCE):
+                part = batch.slice(at, ALIGNED_AT_ONCE)
+                found += [covered_lines(a, b, set(rare)) for a, b, rare in zip(*(part.column(c).to_pylist() for c in ("a", "b", "rare")))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "th", "cut"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    both = pairs.join(later, "doc").join(earlier, "first").select("doc.doc_id", "doc.th", "a", "b", "rare")
+    both = spread_join(pairs.join(later, "doc"), earlier, "first", "doc", "n", unique=True).select("doc.doc_id", "doc.th", "a", "b", "rare")
     cut = in_partitions(both, align, f"doc_id {id_type}, th long, cut array<int>")
     removed = cut.groupBy("doc_id", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cut")))).alias("removed")).where(F.size("removed") > 0)
     given = removed.select(F.struct("doc_id", "th").alias("of"), "removed")

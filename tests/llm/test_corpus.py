@@ -183,6 +183,15 @@ def test_line_dedup(spark, edge_docs, edge_rows, no_docs):
     assert line_dedup.line_dedup(no_docs).count() == 0
 
 
+def test_line_dedup_of_lines_in_very_many_documents(spark):
+    passage = "\n".join(f"shared line {k}" for k in range(4))
+    rows = [(i, passage) for i in range(150)] + [(i, f"own {i}\n{passage}\nend {i}") for i in range(150, 300)] + [(300, "own line")]
+    got = {r.doc_id: (r.removed, r.text) for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == ([], passage) and got[300] == ([], "own line")
+    assert all(got[i] == ([0, 1, 2, 3], "") for i in range(1, 150))
+    assert all(got[i] == ([1, 2, 3, 4], f"own {i}\nend {i}") for i in range(150, 300))
+
+
 def test_pipeline(spark, unique_rows, tmp_path):
     import corpus_pipeline
     columns = "doc_id long, text string, lang string, source string, n_chars long"
