@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from rostra.llm.common import in_partitions
+from rostra.llm.common import fresh, in_partitions
 from rostra.llm.components import connected_components
 from rostra.operators.skew import spread_join
 from rostra.session import materialize
@@ -55,6 +56,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                          f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, n_words long")
 
 
+def with_fingerprints(docs: DataFrame, name: str) -> DataFrame:
+    """All columns of ``docs`` and the SimHash of the text as the last one, called ``name``."""
+    at = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint(t or "")[0] for t in batch.column(at).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(work, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
 def gray_rank(fps: np.ndarray) -> np.ndarray:
     """Place of each 64-bit word in the Gray-code order, in which neighbours differ in one bit."""
     rank = fps.copy()
@@ -219,7 +232,21 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that are the first of their component, all columns unchanged; rows without an id stay where their
-    component has no id at all."""
-    first = simhash_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.struct("doc_id").alias("kept")).distinct()
-    return docs.join(first, F.struct(docs["doc_id"]).eqNullSafe(first["kept"]), "left_semi")
+    """The documents that are the first of their component, all columns unchanged.
+
+    A row stays if its (doc_id, fingerprint) is that of a first document. Equal rows stay together, as do rows without an id in
+    a component that has no id at all. Only where rows of one id (or without an id) are judged differently are their
+    texts hashed again to tell them apart; all other rows are told by their id.
+    """
+    judged = simhash_components(docs).select("doc_id", "fingerprint", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
+    judged = materialize(judged.groupBy("doc_id", "fingerprint").agg(F.max("stays").alias("stays")), "judged")
+    ids = judged.groupBy(F.struct("doc_id").alias("__id")).agg(F.max("stays").alias("any"), F.min("stays").alias("all"))
+    own = F.struct(docs["doc_id"])
+    sure = docs.join(ids.where("all").select("__id"), own.eqNullSafe(F.col("__id")), "left_semi")
+    mixed = materialize(ids.where("any AND NOT all").select("__id"), "mixed")
+    if mixed.isEmpty():
+        return sure
+    told = with_fingerprints(docs.join(mixed, own.eqNullSafe(F.col("__id")), "left_semi"), fresh(docs, "fp"))
+    keep = judged.where("stays").select(F.struct("doc_id", F.conv("fingerprint", 16, -10).cast("long").alias("fp")).alias("__kept"))
+    told = told.join(keep, F.struct(told["doc_id"], told[told.columns[-1]].alias("fp")).eqNullSafe(F.col("__kept")), "left_semi")
+    return sure.unionByName(told.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -66,8 +66,16 @@ def test_simhash_components(edge_docs, edge_rows, no_docs):
     want = Counter((r[0], f"{prints[k]:016x}", min((i for i in least[find(k)] if i is not None), default=None)) for k, r in enumerate(edge_rows))
     got = simhash.simhash_components(edge_docs).select("doc_id", "fingerprint", "component_id").collect()
     assert Counter(map(tuple, got)) == want
-    assert simhash.one_of_each(edge_docs).columns == edge_docs.columns
-    assert simhash.simhash_components(no_docs).count() == 0
+    first = Counter(r for k, r in enumerate(edge_rows) if r[0] == min((i for i in least[find(k)] if i is not None), default=None))
+    one = simhash.one_of_each(edge_docs)
+    assert one.columns == edge_docs.columns and Counter(map(tuple, one.collect())) == first
+    assert simhash.simhash_components(no_docs).count() == 0 and simhash.one_of_each(no_docs).count() == 0
+
+
+def test_one_of_each_tells_rows_of_one_id_apart(spark):
+    rows = [(None, "zz yy xx ww vv uu"), (None, None), (5, ""), (7, "aa bb cc dd ee"), (7, "ff gg hh ii jj kk"), (6, "ff gg hh ii jj kk")]
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, got)) == Counter([rows[0], rows[2], rows[3], rows[5]])
 
 
 @pytest.mark.parametrize("hot", [False, True])
