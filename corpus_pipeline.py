@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rostra.llm.exact_dedup import kept_documents
 from rostra.llm.language_id import known_language
-from rostra.llm.near_copies import one_of_each
 from rostra.llm.packing import best_fit_packing
+from rostra.llm.simhash import one_of_each
 from rostra.llm.suffix_dedup import without_repeats
 from rostra.session import materialize
 
@@ -23,7 +23,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first of each group of near copies: a similarity of 0.8 or more over five-word shingles."""
+    """Keep the first of each group of near copies: SimHash fingerprints of three-word shingles that differ in at most three bits."""
     return one_of_each(docs)
 
 
