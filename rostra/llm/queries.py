@@ -16,8 +16,11 @@ from rostra.llm.license_scan import license_scan
 from rostra.llm.line_dedup import line_dedup
 from rostra.llm.lm_score import lm_score
 from rostra.llm.packing import best_fit_packing
+from rostra.llm.ranked_search import ranked_search
 from rostra.llm.simhash import simhash_components
+from rostra.llm.spelling import spelling_variants
 from rostra.llm.suffix_dedup import suffix_dedup
+from rostra.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +89,38 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_suffix_array_dedup")
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir), with_text=False)
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
+@query("op12_ranked_search", sql=r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+p AS (SELECT doc_id, term, count(*) AS tf FROM d SEMI JOIN q USING (term) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term),
+s AS (
+  SELECT item_id, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN n USING (doc_id), c GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM s
+WHERE score > 0 QUALIFY rank <= 20""")
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nearest = F.get("evidence", F.lit(0))
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).select(
+        "doc_id", "held_out", "score", "predicted", nearest["doc_id"].alias("nearest_doc"), nearest["similarity"].alias("nearest_similarity"))
