@@ -52,7 +52,7 @@ def src_discover(spark, sf):
     """Of two folders of files the right one is found by its header, and read."""
     root = scratch_path(spark, "raw")
     data.raw_screening(spark, sf).write.option("header", True).option("escape", '"').csv(f"{root}/b_screening")
-    view(spark, sf, "v_resume_category").coalesce(1).write.option("header", True).option("escape", '"').csv(f"{root}/c_category")
+    view(spark, sf, "v_resume_category").write.option("header", True).option("escape", '"').csv(f"{root}/c_category")
 
     def rows(kind, required, forbidden):
         found = io.discover(spark, root, required, forbidden).first().file

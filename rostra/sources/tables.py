@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rostra import constants as K
+from rostra.sources.records import read_records
 
 USAGE_LOG_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampType()), T.StructField("purpose", T.StringType()),
@@ -56,27 +58,31 @@ def file_encodings(spark: SparkSession, path: str, pattern: str = "*.csv") -> Da
         .select("file", F.when(F.col("valid"), "UTF-8").otherwise("ISO-8859-1").alias("encoding")))
 
 
-def _csv(spark: SparkSession, encoding: str):
-    return (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
-            .option("escape", '"').option("encoding", encoding).option("recursiveFileLookup", True))
+CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Quoted CSV files of one layout, each in its own encoding.
 
-    File names and encodings are metadata: one short row per file. Fields may hold line breaks, so a
-    file is the unit of parallelism; land large inputs as many files.
+    Fields may hold line breaks; a large file is still read by many tasks (see ``records``). Without a schema all columns
+    are text, named by the header of the first file.
     """
-    files = file_encodings(spark, path).collect()
-    parts = []
-    for encoding in ("UTF-8", "ISO-8859-1"):
-        names = [row.file for row in files if row.encoding == encoding]
-        if names:
-            reader = _csv(spark, encoding)
-            parts.append((reader.schema(schema) if schema else reader).csv(names))
-    if not parts:
-        raise FileNotFoundError(f"no CSV files under {path}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = read_records(spark, path)
+    if schema is None:
+        first = rows.where("head").agg(F.min(F.struct("file", "record")).alias("first")).first().first
+        if first is None:
+            raise FileNotFoundError(f"no CSV files under {path}")
+        names = next(csv.reader(io.StringIO(first.record, newline="")))
+        names = [n or f"_c{i}" for i, n in enumerate(names)]
+        schema = T.StructType([T.StructField(n if names.count(n) == 1 else f"{n}{i}", T.StringType()) for i, n in enumerate(names)])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    fields = F.from_csv("record", _ddl(schema), CSV_OPTIONS)
+    return rows.where("NOT head").select(fields.alias("row")).select("row.*")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
 
 
 def csv_headers(spark: SparkSession, path: str) -> DataFrame:
@@ -89,7 +95,9 @@ def csv_headers(spark: SparkSession, path: str) -> DataFrame:
         .where(F.col("block") == 0))
     first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
     tidy = lambda h: F.trim(F.regexp_replace(F.lower(F.trim(h)), "[^a-z0-9]+", "_"), F.lit("_"))
-    return first.select("file", F.transform(F.split("header", ","), tidy).alias("columns"))
+    # A quoted name may hold commas.
+    names = F.regexp_extract_all("header", F.lit('(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return first.select("file", F.transform(names, tidy).alias("columns"))
 
 
 def discover(spark: SparkSession, path: str, required: list[str], forbidden: list[str] | None = None,
