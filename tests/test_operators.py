@@ -242,15 +242,6 @@ def test_replies(spark):
         assert (r.j is None) == (want is None) and (r.q is not None) == bool(want)
 
 
-def test_dense_search_in_many_blocks(spark):
-    rng = random.Random(2)
-    vectors = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(120)], "vec_id long, embedding array<double>")
-    asked = vectors.where("vec_id < 15").withColumnRenamed("vec_id", "question_id")
-    one = rows(retrieval.dense_top_k(vectors, asked, 5).select("question_id", "rank", "vec_id"), "question_id", "rank")
-    many = rows(retrieval.dense_top_k(vectors, asked, 5, 13, 4).select("question_id", "rank", "vec_id"), "question_id", "rank")
-    assert one == many and len(one) > 15
-
-
 def test_answers_without_hits(spark):
     docs = spark.createDataFrame([("a.md", "a.md", "# Offers\n\nAn offer letter stays valid for seven calendar days after issue.")], "doc string, doc_ord string, text string")
     asked = spark.createDataFrame([(1, "How long is an offer letter valid?"), (2, "zebra quantum")], "question_id int, question string")
