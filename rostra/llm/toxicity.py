@@ -85,6 +85,22 @@ def _counted(df: DataFrame, numbers: dict[bytes, int], *carried: str) -> DataFra
     return in_partitions(df.select(*carried, "text"), work, ", ".join([*kinds, "terms array<int>", "tfs array<int>"]))
 
 
+def _frequencies(counted: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
+    """How many rows there are, and how many have each term. Each task adds up its own."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = 0, np.zeros(n_terms, np.int64)
+        for batch in batches:
+            rows += len(batch)
+            held += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=n_terms)
+        has = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(has, -1)), pa.array(np.append(held[has], rows))], names=["term", "n"])
+
+    out = np.zeros(n_terms + 1, np.int64)  # the last place has the rows
+    for r in in_partitions(counted.select("terms"), work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        out[r.term] = r.n
+    return int(out[-1]), out[:-1].astype(float)
+
+
 class BlockMaxIndex:
     """Distinct example vectors in blocks of ``BLOCK`` like ones; each term has, for each block, its postings and their largest weight."""
 
@@ -229,10 +245,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, most_examples: int = MOST_EXAMP
         .orderBy(F.desc("g2"), "term").limit(most_terms).select("term").collect()
     numbers = {bytes(r.term): k for k, r in enumerate(sorted(chosen))}
     counted = materialize(_counted(docs, numbers, "doc_id"), "counted")
-    n_docs = counted.count()
-    df = np.zeros(len(numbers))
-    for r in counted.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
-        df[r.term] = r["count"]
+    n_docs, df = _frequencies(counted, len(numbers))
     taught = materialize(_counted(examples, numbers, "doc_id", "toxic"), "taught")
     groups: dict[tuple, list] = {}
     for r in taught.select("doc_id", "toxic", "terms", "tfs").collect():
