@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -27,20 +28,30 @@ BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 
 # Notices of well-known public licences, and the phrases without which one is not present.
 TEMPLATES = (
-    Template("apache-2.0", "licensed under the apache license version 2.0", ("apache license",)),
+    Template("apache-2.0", "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license "
+                           "you may obtain a copy of the license at", ("apache license",)),
     Template("mit", "released under the mit license", ("mit license",)),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-                    "documentation files", ("permission is hereby granted free of charge",)),
+                    "documentation files the software to deal in the software without restriction including without limitation the rights to use "
+                    "copy modify merge publish distribute sublicense and or sell copies of the software", ("permission is hereby granted free of charge",)),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
-                    "the following conditions are met", ("redistribution and use in source and binary forms",)),
+                    "the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions "
+                    "and the following disclaimer", ("redistribution and use in source and binary forms",)),
     Template("gpl-3.0", "licensed under the gnu general public license version 3", ("general public license", "version 3")),
     Template("gpl-2.0", "licensed under the gnu general public license version 2", ("general public license", "version 2")),
+    Template("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
+                        "published by the free software foundation either version 3 of the license or at your option any later version",
+             ("general public license", "free software foundation", "version 3")),
+    Template("gpl-2.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
+                        "published by the free software foundation either version 2 of the license or at your option any later version",
+             ("general public license", "free software foundation", "version 2")),
     Template("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
     Template("agpl", "licensed under the gnu affero general public license", ("affero general public license",)),
-    Template("mpl-2.0", "subject to the terms of the mozilla public license version 2.0", ("mozilla public license",)),
+    Template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0 if a copy of the mpl was not distributed with "
+                        "this file you can obtain one at", ("mozilla public license",)),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
-                    "granted", ("permission to use copy modify",)),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
+                    "granted provided that the above copyright notice and this permission notice appear in all copies", ("permission to use copy modify",)),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software", "public domain")),
     Template("cc0", "to the extent possible under law the author has waived all copyright dedicated under cc0", ("cc0",)),
     Template("cc-by-4.0", "licensed under cc by 4.0", ("cc by 4.0",)),
     Template("cc-by-sa", "licensed under cc by sa 4.0", ("cc by sa",)),
@@ -62,23 +73,28 @@ def places(words: list[bytes], phrase: list[bytes], where: dict[bytes, list[int]
 
 
 class Index:
-    """Postings of the licence words: word to (template, position), for words that are rare enough in the corpus."""
+    """Postings of all words of all templates: word to (template, position)."""
 
-    def __init__(self, templates: tuple[Template, ...], frequency: dict[bytes, int], documents: int, least_idf: float, votes: int):
+    def __init__(self, templates: tuple[Template, ...], frequency: dict[bytes, int], documents: int, lookups: int, votes: int):
         self.templates = [(t.label, words_of(t.text), [words_of(m) for m in t.mandatory]) for t in templates]
         self.base = [(words_of(p), label) for p, label in BASE]
-        self.idf = {w: math.log((documents + 1) / (frequency.get(w, 0) + 1)) for _, words, _ in self.templates for w in words}
-        self.votes = []
+        self.lookups = lookups
+        phrases = [key for _, _, keys in self.templates for key in keys]
+        every = {w for _, words, _ in self.templates for w in words} | {w for phrase in phrases for w in phrase}
+        self.idf = {w: math.log((documents + 1) / (frequency.get(w, 0) + 1)) for w in every}
+        self.votes = [min(votes, len(set(words))) for _, words, _ in self.templates]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, (_, words, _) in enumerate(self.templates):
-            rare = {w for w in words if self.idf[w] >= least_idf} or {max(words, key=self.idf.__getitem__)}
-            self.votes.append(min(votes, len(rare)))
             for q, w in enumerate(words):
-                if w in rare:
-                    self.postings[w].append((t, q))
-        self.wanted = set(self.postings) | {w for phrase, _ in self.base for w in phrase} | {
-            w for _, words, keys in self.templates for w in [*words, *(k for key in keys for k in key)]}
-        self.triggers = set(self.postings) | {max(phrase, key=lambda w: self.idf.get(w, 0.0)) for phrase, _ in self.base}
+                self.postings[w].append((t, q))
+
+        def rarest(phrase: list[bytes]) -> bytes:
+            return max(phrase, key=lambda w: (self.idf.get(w, 0.0), w))
+        #: The rarest word of each mandatory phrase: without all those of a template it cannot be present.
+        self.needed = [{rarest(key) for key in keys} for _, _, keys in self.templates]
+        self.always = {rarest(key) for key in phrases}
+        self.triggers = self.always | {rarest(phrase) for phrase, _ in self.base}
+        self.wanted = every | {w for phrase, _ in self.base for w in phrase}
 
     def scan(self, text: str) -> tuple:
         words = words_of(text)
@@ -93,28 +109,30 @@ class Index:
             if found := places(words, phrase, where):
                 starts += found
                 base.add(label)
-        # Rarest words first; a template lies at an offset if enough of its rare words stand at the right distance.
-        support: dict[tuple[int, int], set[bytes]] = defaultdict(set)
-        for w in sorted(self.postings.keys() & where.keys(), key=lambda w: (-self.idf[w], w)):
-            for t, q in self.postings[w]:
-                for p in where[w]:
-                    support[t, p - q].add(w)
-        labels, score, keys = set(base), float(bool(base)), {}
-        for (t, offset), rare in support.items():
+        labels, score = set(base), float(bool(base))
+        keys = {t: at for t, (_, _, mandatory) in enumerate(self.templates)
+                if self.needed[t] <= where.keys() and all(at := [places(words, m, where) for m in mandatory])}
+        # The words of the highest idf that this text has, and those of the mandatory phrases, say where a template may lie.
+        has = sorted(self.postings.keys() & where.keys(), key=lambda w: (-self.idf[w], w)) if keys else []
+        offsets = {(t, p - q) for w in [*has[:self.lookups], *(w for w in has[self.lookups:] if w in self.always)]
+                   for t, q in self.postings[w] if t in keys for p in where[w]}
+        for t, offset in offsets:
             label, body, mandatory = self.templates[t]
-            if len(rare) < self.votes[t]:
-                continue
-            if t not in keys:
-                keys[t] = [places(words, m, where) for m in mandatory]
             # Every mandatory phrase stands inside the stretch that the template covers, give or take a word each side.
-            if all(any(offset - 1 <= p and p + len(m) <= offset + len(body) + 1 for p in at) for m, at in zip(mandatory, keys[t])):
-                same = sum(w == body[i] for i, w in enumerate(words[max(offset, 0):offset + len(body)], max(-offset, 0)))
-                labels.add(label)
-                score = max(score, same / len(body))
+            if all(_any_between(at, offset - 1, offset + len(body) + 1 - len(m)) for m, at in zip(mandatory, keys[t])):
+                same = [w for i, w in enumerate(words[max(offset, 0):max(offset + len(body), 0)], max(-offset, 0)) if w == body[i]]
+                if len(set(same)) >= self.votes[t]:
+                    labels.add(label)
+                    score = max(score, len(same) / len(body))
         return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
                 ",".join(sorted(labels)), score)
 
 
+def _any_between(places_: list[int], low: int, high: int) -> bool:
+    at = bisect_left(places_, low)
+    return at < len(places_) and places_[at] <= high
+
+
 def word_frequencies(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
     """In how many documents each licence word stands, over all documents; one row per word goes to the driver."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,19 +147,20 @@ def word_frequencies(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int
     return {bytes(r.word): r.n for r in counts.collect()}
 
 
-def license_scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, least_idf: float = 3.0, votes: int = 2) -> DataFrame:
+def license_scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, lookups: int = 16, votes: int = 2) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of every document.
 
-    A first pass counts in how many documents each word of the templates stands. Words with an inverse document frequency of
-    ``least_idf`` or more are indexed with their positions. A document's indexed words, rarest first, vote for (template,
-    offset); where ``votes`` different words agree (or all a template has) and the mandatory phrases stand
-    there, the template's label is given. Phrases of ``BASE`` count wherever their words stand one after the other.
+    A first pass counts in how many documents each word of the templates stands. All words of the templates are indexed with their
+    positions. In each document, the ``lookups`` licence words of highest inverse document frequency that it has, and the rarest word of each mandatory
+    phrase, however common, are looked up: together with their own places they say at which offset a template may lie. Where
+    ``votes`` different words of the template stand at their places and its mandatory phrases too,
+    the template's label is given. Phrases of ``BASE`` count wherever their words stand one after the other.
     ``score`` is 1 with a base phrase, else the largest share of a template's words found in place, 0 without a label.
     A missing text is empty: no words, no labels (""), no positions (null). Rows are scanned one by one, so repeated
     rows and missing ids need no care; other columns are not read.
     """
-    vocabulary = {w for t in templates for w in words_of(t.text)}
-    index = Index(templates, word_frequencies(docs, vocabulary), docs.count(), least_idf, votes)
+    vocabulary = {w for t in templates for phrase in (t.text, *t.mandatory) for w in words_of(phrase)}
+    index = Index(templates, word_frequencies(docs, vocabulary), docs.count(), lookups, votes)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
