@@ -10,7 +10,8 @@ from rostra.functions.binding import let
 from rostra.llm.common import BLANKS
 
 LEAST_SHARE, MOST_SHARE = 0.005, 0.2  # band of document frequencies: idf from ln 5 to ln 200
-LEXICON = 16_384
+MOST_LEXICON = 1 << 20  # an error above: the band of one corpus does not have so many terms
+FEW_TERMS = 4  # a text with fewer lexicon terms is also known by all its terms
 CELLS = 32  # random lexicon subsets of each of three sizes
 GROUP_DOCS = 2048
 MOST_GROUPS = 10_000
@@ -22,16 +23,19 @@ def term_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def fit_lexicon(hashes: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE, size: int = LEXICON) -> list[int]:
+def fit_lexicon(hashes: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> list[int]:
     """Terms whose share of documents lies in the band. ``hashes`` has the distinct ``terms`` of each document.
 
-    All documents count. There are at most (mean distinct terms of a document) / ``least`` such terms; if there are more than
-    ``size``, the lexicon is a random part of the band: those that come first in the order of a second hash.
+    All documents count, and every term of the band belongs to the lexicon. A term of the band is in ``least`` of all documents
+    or more, so there are at most (mean distinct terms of a document) / ``least`` of them, whatever the number of documents: a few ten thousand.
     """
     documents = hashes.count()
     counts = hashes.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    band = counts.where((F.col("n") >= max(2.0, least * documents)) & (F.col("n") <= most * documents))
-    return sorted(r.term for r in band.select("term").orderBy(F.xxhash64("term"), "term").limit(size).collect())
+    band = counts.where((F.col("n") >= max(2.0, least * documents)) & (F.col("n") <= most * documents)).select("term")
+    found = [r.term for r in band.limit(MOST_LEXICON + 1).collect()]
+    if len(found) > MOST_LEXICON:
+        raise ValueError(f"the band from {least} to {most} of the documents has more than {MOST_LEXICON} terms")
+    return sorted(found)
 
 
 def _cells(h: Column) -> Column:
@@ -45,21 +49,26 @@ def _cells(h: Column) -> Column:
 
 
 def signature(terms: Column, lexicon: list[int]) -> Column:
-    """For each subset in which the text has terms, in order: its number and the hash of the sorted terms."""
-    words = F.split(F.lit(",".join(map(str, lexicon))), ",").cast("array<bigint>") if lexicon else F.array().cast("array<bigint>")
-
+    """For each subset in which the text has terms, in order: its number and the hash of the sorted terms. A text with fewer than
+    ``FEW_TERMS`` terms of the lexicon, but with terms, has one more subset: all its terms."""
     def hashed(pairs: Column) -> Column:
         cells = F.sort_array(F.array_distinct(F.transform(pairs, lambda p: p["c"])))
         return F.transform(cells, lambda c: F.concat(
             F.lpad(F.lower(F.hex(c)), 2, "0"),
             F.lpad(F.lower(F.hex(F.xxhash64(F.transform(F.filter(pairs, lambda p: p["c"] == c), lambda p: p["h"])))), 16, "0")))
 
-    kept = F.sort_array(F.array_intersect(terms, words))
-    return let(F.flatten(F.transform(kept, lambda h: F.transform(_cells(h), lambda c: F.struct(c.alias("c"), h.alias("h"))))), hashed)
+    def signed(kept: Column) -> Column:
+        every = F.lpad(F.lower(F.hex(F.xxhash64(F.sort_array(terms)))), 16, "0")
+        own = let(F.flatten(F.transform(kept, lambda h: F.transform(_cells(h), lambda c: F.struct(c.alias("c"), h.alias("h"))))), hashed)
+        few = (F.size(kept) < FEW_TERMS) & (F.size(terms) > 0)
+        return F.concat(own, F.when(few, F.array(F.concat(F.lit(f"{3 * CELLS:02x}"), every))).otherwise(F.array().cast("array<string>")))
+
+    # One lookup a term: a list of constants becomes a hash set that is built once, not once a row.
+    return let(F.sort_array(F.filter(terms, lambda t: t.isin(lexicon) if lexicon else F.lit(False))), signed)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Of the subsets in which either text has terms, the share with the same hash; 1 if neither has any."""
+    """Of the subsets in which either text has terms, the share with the same hash; 1 if neither has any, as both are without terms."""
     cells = F.size(F.array_union(F.transform(a, lambda x: F.substring(x, 1, 2)), F.transform(b, lambda x: F.substring(x, 1, 2))))
     return F.when(cells == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / cells)
 
@@ -101,17 +110,17 @@ def _followed(rows: DataFrame, columns: list[str]) -> DataFrame:
     return spread.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns]).where("to.copy = 0").drop("to")
 
 
-def document_fingerprints(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE, size: int = LEXICON) -> DataFrame:
+def document_fingerprints(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
     """``doc_id, fingerprint`` of every document: the hashes of its terms in random subsets of the lexicon.
 
-    A missing text counts as empty; a text without terms of the lexicon has the empty fingerprint. Equal texts have equal ones.
+    A missing text counts as empty; a text without any term has the empty fingerprint. Equal texts have equal ones.
     Rows are worked on one by one, so repeated rows and missing ids need no care; other columns are not read.
     """
     rows = docs.select("doc_id", term_hashes(F.coalesce(docs["text"], F.lit(""))).alias("terms"))
-    return rows.select("doc_id", F.array_join(signature(F.col("terms"), fit_lexicon(rows, least, most, size)), "").alias("fingerprint"))
+    return rows.select("doc_id", F.array_join(signature(F.col("terms"), fit_lexicon(rows, least, most)), "").alias("fingerprint"))
 
 
-def edited_fingerprints(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE, size: int = LEXICON) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> DataFrame:
     """Fingerprints of every text and of the text with its later half replaced by the start of the next document.
 
     Gives ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``. The next document is the
@@ -119,7 +128,7 @@ def edited_fingerprints(docs: DataFrame, least: float = LEAST_SHARE, most: float
     empty. Rows with one id are ordered by their text; rows without an id come last. Other columns are not read.
     """
     rows = docs.select("doc_id", F.coalesce(docs["text"], F.lit("")).alias("text"))
-    lexicon = fit_lexicon(rows.select(term_hashes(F.col("text")).alias("terms")), least, most, size)
+    lexicon = fit_lexicon(rows.select(term_hashes(F.col("text")).alias("terms")), least, most)
     signed = rows.withColumn("sig", signature(term_hashes(F.col("text")), lexicon))
     pairs = _followed(signed, ["text", "sig"]).withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -160,7 +161,8 @@ def test_lm_score(edge_docs, edge_rows, no_docs):
 def test_patience_blocks():
     a, b = [1, 2, 3, 4, 5, 6, 7], [9, 1, 2, 3, 8, 5, 6, 2, 7]
     assert line_dedup.patience_blocks(a, b) == [(0, 1, 3), (4, 5, 2), (6, 8, 1)]
-    assert line_dedup.patience_blocks([], [1]) == [] and line_dedup.patience_blocks([1, 1], [1, 1]) == []
+    assert line_dedup.patience_blocks([], [1]) == [] and line_dedup.patience_blocks([1, 1], [1, 1]) == [(0, 0, 2)]
+    assert line_dedup.patience_blocks([8, 1, 2, 1, 2, 9], [7, 1, 2, 1, 2, 5]) == [(1, 1, 4)]
     rng = np.random.default_rng(0)
     for _ in range(200):
         a, b = (rng.integers(0, 8, rng.integers(0, 14)).tolist() for _ in range(2))
@@ -168,6 +170,21 @@ def test_patience_blocks():
         for i, j, n in line_dedup.patience_blocks(a, b):
             assert n > 0 and a[i:i + n] == b[j:j + n] and i >= ends[0] and j >= ends[1]
             ends = (i + n, j + n)
+        assert sum(n for *_, n in line_dedup.patience_blocks(a, a)) == len(a)
+        assert bool(line_dedup.patience_blocks(a, b)) == bool(set(a) & set(b))
+
+
+def test_copies_with_repeated_lines_are_cleaned(spark):
+    rng = random.Random(3)
+    texts = ["a\nb\na\nb", "a\nb\na\nb", "x\nx", "x\nx"]
+    for _ in range(15):
+        text = "\n".join(rng.choice("pqr") + str(rng.randint(0, 2)) for _ in range(rng.randint(1, 30)))
+        texts += [text] * rng.randint(1, 3)
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    first = {}
+    for i, t in enumerate(texts):
+        if first.setdefault(t, i) != i:
+            assert got[i] == ""
 
 
 def test_line_dedup(spark, edge_docs, edge_rows, no_docs):

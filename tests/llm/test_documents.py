@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -10,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rostra.llm import bpe, exact_dedup, imatch, language_id, license_scan, simhash
@@ -194,6 +196,61 @@ def test_fingerprints(edge_docs, unique_docs, unique_rows, no_docs):
     assert imatch.edited_fingerprints(edge_docs).count() == edge_docs.count() and imatch.edited_fingerprints(no_docs).count() == 0
 
 
+def plain_signature(text, lexicon):
+    """The hashes of a text's lexicon terms in the subsets, worked out with the xxhash library."""
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def chained(values):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", v), h)
+        return f"{h:016x}"
+    terms = sorted({signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in re.findall(r"[^\x20\x09-\x0D]+", text.lower())})
+    cells = defaultdict(list)
+    for t in (t for t in terms if t in lexicon):
+        u = t & (1 << 64) - 1
+        cells[u % 32].append(t)
+        if u >> 5 & 7 == 0:
+            cells[32 + (u >> 11) % 32].append(t)
+        if u >> 5 & 63 == 0:
+            cells[64 + (u >> 11) % 32].append(t)
+    out = [f"{c:02x}{chained(v)}" for c, v in sorted(cells.items())]
+    return out + ([f"60{chained(terms)}"] if terms and sum(t in lexicon for t in terms) < imatch.FEW_TERMS else [])
+
+
+def test_fingerprints_equal_a_plain_version(spark):
+    import random
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(3000)]
+    rows = [(i, " ".join(rng.choice(words[:rng.choice([20, 300, 3000])]) for _ in range(rng.randint(1, 200)))) for i in range(120)]
+    rows += [(500, "SHORT one!"), (501, "another Text"), (502, "short ONE!"), (503, None), (504, ""), (505, rows[3][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = Counter(w for _, t in rows for w in set((t or "").lower().split()))
+    lexicon = {xxhash.xxh64_intdigest(w.encode(), 42) for w, n in seen.items() if max(2, 0.005 * len(rows)) <= n <= 0.2 * len(rows)}
+    lexicon = {x - (1 << 64) if x >> 63 else x for x in lexicon}
+    assert len(lexicon) > 500
+    want = {i: plain_signature(t or "", lexicon) for i, t in rows}
+    got = {r.doc_id: r for r in imatch.edited_fingerprints(docs).collect()}
+    assert {i: r.fingerprint for i, r in got.items()} == {i: "".join(s) for i, s in want.items()}
+    for (i, t), (_, following) in zip(rows, [*rows[1:], rows[0]]):
+        t, following = t or "", following or ""
+        edited = plain_signature(t[:len(t) - len(t) // 2] + following[:len(t) // 2], lexicon)
+
+        def likeness(a, b):
+            cells = {x[:2] for x in a} | {x[:2] for x in b}
+            return len(set(a) & set(b)) / len(cells) if cells else 1.0
+        assert got[i].near_edited == pytest.approx(likeness(want[i], edited))
+        assert got[i].near_next == pytest.approx(likeness(want[i], plain_signature(following, lexicon)))
+    assert got[500].near_next == 0.0 and got[501].near_next == 0.0 and got[503].near_next == 1.0 and want[500] == want[502]
+
+
+def test_no_term_of_the_band_is_left_out(spark):
+    rows = [(i, " ".join(f"t{k}" for k in range(20_000) if k % 10 == i % 10)) for i in range(20)]
+    hashes = spark.createDataFrame(rows, "doc_id long, text string").select(imatch.term_hashes(F.col("text")).alias("terms"))
+    assert len(imatch.fit_lexicon(hashes)) == 20_000
+
+
 def test_fingerprints_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(imatch, "GROUP_DOCS", 7)
     rows = [(i * 3, f"text {i} " * (i % 5 + 1)) for i in range(200)]
