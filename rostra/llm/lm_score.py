@@ -19,6 +19,7 @@ from rostra.session import materialize
 ROUNDS = 2
 SMOOTHING = 0.1
 MODELS = 16  # components of the mixture
+LEAST_COUNT = 3  # a training word that occurs so often is a piece of its own, at every size of the input
 HOT_SHARE = 5e-7  # words with this share of the training tokens, at most two million, are kept in memory
 WORDS_AT_ONCE = 50_000
 COUNTED_AT_ONCE = 400_000
@@ -72,13 +73,17 @@ def count_words(docs: DataFrame, models: int) -> DataFrame:
     return sums.select("word", F.array(*names).alias("c"))
 
 
-def fit_scores(counts: DataFrame, texts: np.ndarray, pieces: list[bytes], rounds: int = ROUNDS) -> tuple[Pieces, np.ndarray]:
+def fit_scores(counts: DataFrame, texts: np.ndarray, pieces: list[bytes], rounds: int = ROUNDS) -> tuple[Pieces, np.ndarray, np.ndarray]:
     """Expectation-maximisation of the piece scores of each model over the counts of all its training words.
 
     The n-th piece starts with a probability in proportion to 1 / (n + 10). Each round weighs all segmentations of every
-    word with the scores so far. What goes to the driver is one number for each piece and model. Also gives the
-    score of a text's end.
+    word with the scores so far. Words of ``counts`` that are marked ``own`` are pieces outside the list, each used as often as it
+    occurs. What goes to the driver is one number for each piece and model. Also gives the score of a text's end, and
+    the sum of all uses, by model.
     """
+    apart = counts.where("own").agg(F.count("*"), *[F.coalesce(F.sum(F.get("c", F.lit(m))), F.lit(0)) for m in range(len(texts))]).first()
+    alone, counts = np.array(apart[1:], float), counts.where("NOT own")
+    total = np.ones(len(texts))
     models, start = len(texts), -np.log(np.arange(len(pieces)) + 10.0)
     lattices, end = Pieces(pieces, np.repeat((start - np.logaddexp.reduce(start))[:, None], models, axis=1)), np.zeros(models)
     for _ in range(rounds):
@@ -98,9 +103,9 @@ def fit_scores(counts: DataFrame, texts: np.ndarray, pieces: list[bytes], rounds
         summed = in_partitions(counts, work, "piece long, model long, n double").groupBy("piece", "model").agg(F.sum("n").alias("n"))
         for row in summed.toLocalIterator():
             uses[row.piece, row.model] = row.n
-        total = uses.sum(axis=0) + texts + SMOOTHING * (len(pieces) + 1)
+        total = uses.sum(axis=0) + alone + texts + SMOOTHING * (len(pieces) + apart[0] + 1)
         lattices, end = lattices.with_scores(np.log((uses + SMOOTHING) / total)), np.log((texts + SMOOTHING) / total)
-    return lattices, end
+    return lattices, end, total
 
 
 def lm_score(docs: DataFrame, model_file: str, mod: int = 7, held: int = 2, rounds: int = ROUNDS, models: int = MODELS,
@@ -108,13 +113,12 @@ def lm_score(docs: DataFrame, model_file: str, mod: int = 7, held: int = 2, roun
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
     ``score`` is the log10 probability of the whole text. Each word is summed over all its segmentations into pieces: those
-    of ``model_file`` (read by the driver) and, with ``whole_words``, the training words that are frequent enough to be kept in
-    memory. Piece probabilities are fitted to the words of all documents that are not held out, one model for each of the
+    of ``model_file`` (read by the driver) and, with ``whole_words``, every training word with ``LEAST_COUNT`` occurrences. Piece probabilities are fitted to the words of all documents that are not held out, one model for each of the
     ``models - 1`` commonest ``lang`` values of these and one for the rest; a text is the mixture of the models by their shares,
     so a text's own language is not looked at. ``base_score`` is the add-one word model over the same documents.
 
-    Frequent words (share ``HOT_SHARE``: a bounded list) are scored where the texts lie; the others go to the word's count
-    by a join, as rows of (row, word, times). A missing text counts as empty: one token, the end. Rows keep a number of their
+    Frequent words (share ``HOT_SHARE``: a bounded list) are scored where the texts lie, and stand in the lattices of longer words too; the others
+    go to the word's counts by a join, as rows of (row, word, times), and have their own piece as one more segmentation. A missing text counts as empty: one token, the end. Rows keep a number of their
     own, so repeated rows and missing ids come back as given. Without training documents N and V are 0.
     """
     id_type, spark = docs.schema["doc_id"].dataType.simpleString(), docs.sparkSession
@@ -133,11 +137,13 @@ def lm_score(docs: DataFrame, model_file: str, mod: int = 7, held: int = 2, roun
     counts = materialize(count_words(train, models).withColumn("all", F.aggregate("c", F.lit(0).cast("long"), lambda a, b: a + b)), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("all"), F.lit(0)), F.count("*")).first()
     n, v = int(total) + n_texts, distinct + (n_texts > 0)
-    pieces, hot = vocabulary(model_file), counts.where(F.col("all") >= max(3.0, n * HOT_SHARE))
+    least_hot = max(float(LEAST_COUNT), n * HOT_SHARE)
+    pieces, hot = vocabulary(model_file), counts.where(F.col("all") >= least_hot)
+    counts = counts.withColumn("own", (F.col("all") >= LEAST_COUNT) & (F.col("all") < least_hot) & F.lit(whole_words))
     if whole_words:
         have = set(pieces)
         pieces += sorted(p for p in (b" " + bytes(r.word) for r in hot.select("word").toLocalIterator()) if p not in have)
-    lattices, end = fit_scores(counts, texts, pieces, rounds)
+    lattices, end, uses = fit_scores(counts, texts, pieces, rounds)
     table = spark.sparkContext.broadcast(lattices)
     lp_names = [f"lp{m}" for m in range(models)]
     lp_kinds = ", ".join(f"{c} double" for c in lp_names)
@@ -192,14 +198,17 @@ def lm_score(docs: DataFrame, model_file: str, mod: int = 7, held: int = 2, roun
             place = {w: i for i, w in enumerate(dict.fromkeys(words))}
             lp = lattice.log_probability([b" " + w for w in place])[[place[w] for w in words]]
             times, c = batch.column("times").to_numpy(), batch.column("all").to_numpy()
+            own = np.flatnonzero(batch.column("own").to_numpy(zero_copy_only=False))
+            by_model = batch.column("c").take(pa.array(own)).flatten().to_numpy().reshape(len(own), models)
+            lp[own] = np.logaddexp(lp[own], np.log((by_model + SMOOTHING) / uses))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(np.where(c > 0, times, 0)), pa.array(times * np.log10(c + 1.0)),
                  *(pa.array(x) for x in (times[:, None] * lp).T)], names=["row", "known", "base", *lp_names])
 
     split = materialize(in_partitions(rows.select("doc_id", "text", "held_out"), near, f"row long, doc_id {id_type}, held_out boolean, "
                                       f"word binary, times long, known long, base double, {lp_kinds}"), "scored")
-    rest = split.where(F.col("word").isNotNull()).select("row", "word", "times").join(counts.select("word", "all"), "word", "left")
-    rare = in_partitions(rest.select("row", "word", "times", F.coalesce("all", F.lit(0)).alias("all")), far,
+    rest = split.where(F.col("word").isNotNull()).select("row", "word", "times").join(counts.select("word", "all", "own", "c"), "word", "left")
+    rare = in_partitions(rest.select("row", "word", "times", F.coalesce("all", F.lit(0)).alias("all"), F.coalesce("own", F.lit(False)).alias("own"), "c"), far,
                          f"row long, known long, base double, {lp_kinds}")
     rare = rare.groupBy("row").agg(*[F.sum(c).alias(f"{c}_rare") for c in ("known", "base", *lp_names)])
     whole = split.where(F.col("word").isNull()).drop("word").join(rare, "row", "left")

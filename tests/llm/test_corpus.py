@@ -158,6 +158,20 @@ def test_lm_score(edge_docs, edge_rows, no_docs):
     assert lm_score.lm_score(no_docs, PIECES).count() == 0
 
 
+def test_every_repeated_training_word_is_a_piece(spark, monkeypatch):
+    """Whether a word is kept in memory or met by the join: its own piece counts."""
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 9))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(80)), "xx") for i in range(60)], "doc_id long, text string, lang string")
+    scores = {}
+    for share, whole in ((5e-7, True), (1.0, True), (1.0, False)):
+        monkeypatch.setattr(lm_score, "HOT_SHARE", share)
+        got = lm_score.lm_score(docs, PIECES, whole_words=whole).collect()
+        scores[share, whole] = sum(r.score for r in got if r.held_out) / sum(r.n_tokens for r in got if r.held_out)
+    near, far, none = scores.values()
+    assert none < far - 0.5 and abs(near - far) < 0.05 and -2.5 < far < -1.6  # 60 words: about log10(1 / 60) each
+
+
 def test_patience_blocks():
     a, b = [1, 2, 3, 4, 5, 6, 7], [9, 1, 2, 3, 8, 5, 6, 2, 7]
     assert line_dedup.patience_blocks(a, b) == [(0, 1, 3), (4, 5, 2), (6, 8, 1)]
