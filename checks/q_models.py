@@ -100,6 +100,17 @@ def sink_models(spark, sf):
     return scored.select("row_id", "probability", "predicted", about.select("name").scalar().alias("name"))
 
 
+@query("sink_category_model")
+def sink_category_model(spark, sf):
+    """A saved and loaded category model judges the test texts."""
+    d, path = _category_data(spark, sf), scratch_path(spark, "category")
+    models.save_category_model(d, models.category_models(d.rows)["Multinomial NB"].fit(d.train), path, "Multinomial NB", {"rows": d.rows})
+    loaded = models.load_category_model(spark, path)
+    texts = _category_split(spark, sf).where("split = 'test'")
+    return models.predict_categories(loaded, texts).select("row_id", F.posexplode("predicted_category").alias("pos", "t")) \
+        .select("row_id", (F.col("pos") + 1).alias("place"), "t.category", "t.score")
+
+
 @once
 def _category_split(spark, sf):
     rows = loading.keep_frequent_classes(categories(spark, sf)).where("category IS NOT NULL")

@@ -6,7 +6,7 @@ import json
 import time
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -213,6 +213,7 @@ class CategoryData:
     test: DataFrame
     labels: list[str]
     rows: int
+    vocabulary: DataFrame
 
 
 def category_data(rows: DataFrame, row_id: str = "row_id", max_terms: int = tfidf.MAX_TERMS_CATEGORY) -> CategoryData:
@@ -224,7 +225,7 @@ def category_data(rows: DataFrame, row_id: str = "row_id", max_terms: int = tfid
     vectors = text_vectors(rows.select(row_id, "category", "split"), vocabulary, row_id, counted)
     data = few_tasks(indexer.transform(vectors)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
-    return CategoryData(train, test, indexer.labels, train.count())
+    return CategoryData(train, test, indexer.labels, train.count(), vocabulary)
 
 
 def few_tasks(df: DataFrame) -> DataFrame:
@@ -255,6 +256,37 @@ def predicted_category(labels: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in labels]), F.col("prediction").cast("int") + 1)
 
 
+@dataclass
+class CategoryModel:
+    """A category model with all that is needed to judge new texts."""
+    model: PipelineModel
+    labels: list[str]
+    vocabulary: DataFrame
+    about: DataFrame
+
+
+def save_category_model(d: CategoryData, model: Model, path: str, name: str, metric_values: dict) -> None:
+    """The fitted model, its vocabulary, and a one-row table with name, labels in the order of their numbers, metrics and rows."""
+    spark = d.train.sparkSession
+    PipelineModel([model]).write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(name, list(d.labels), json.dumps(metric_values), d.rows)], "name string, labels array<string>, metrics string, trained_rows long") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+    d.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
+
+
+def load_category_model(spark: SparkSession, path: str) -> CategoryModel:
+    about = spark.read.parquet(f"{path}/about")
+    return CategoryModel(PipelineModel.load(f"{path}/model"), list(about.first().labels), spark.read.parquet(f"{path}/vocabulary"), about)
+
+
+def predict_categories(m: CategoryModel, texts: DataFrame, row_id: str = "row_id", text: str = "resume", k: int = 3) -> DataFrame:
+    """``row_id`` and ``predicted_category``, the ``k`` best (score, category) pairs, for each row of ``texts (row_id, resume)``."""
+    counted = tfidf.count_terms(texts.select(row_id, tx.clean(F.col(text)).alias("t")), F.col("t")).drop("t")
+    vectors = text_vectors(texts.select(row_id), m.vocabulary, row_id, counted)
+    scored = m.model.transform(vectors)
+    return scored.select(row_id, top_categories(scored, m.labels, k).alias("predicted_category"))
+
+
 def compare_categories(d: CategoryData, names: list[str] | None = None) -> Comparison:
     """Fit each category model (or those named) and score it on the test rows; the best has the highest macro F1."""
     rows, fitted = [], {}
