@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostra.operators import chunks as ch
-from rostra.operators.retrieval import SHARD_BITS, Index, gathered_lists, segment, statistics, with_chunk_key
+from rostra.operators.retrieval import Index, segment, statistics, with_chunk_key
 from rostra.session import materialize
 
 SEGMENT_BITS = 50  # places of a segment start at its number times 2 ** 50
@@ -78,9 +78,5 @@ def open_index(spark: SparkSession, path: str) -> Index:
         marked = chunks.join(last, "doc", "left").withColumn("gone", F.coalesce(F.shiftright("place", SEGMENT_BITS) < F.col("until"), F.lit(False)))
         gone = materialize(marked.where("gone").select("place"), "gone")
         chunks = materialize(marked.where("NOT gone").drop("gone", "until"), "chunks")
-        # Only the lists of shards with deleted chunks are taken apart.
-        shards = gone.select(F.shiftright("place", SHARD_BITS).alias("shard")).distinct()
-        touched = lists.join(shards, "shard", "left_semi").select("shard", "term", F.explode(F.arrays_zip("ords", "counts")).alias("e")) \
-            .select((F.shiftleft("shard", SHARD_BITS) + F.col("e.ords")).alias("place"), "term", F.col("e.counts").alias("count"))
-        lists = materialize(lists.join(shards, "shard", "left_anti").unionByName(gathered_lists(touched.join(gone, "place", "left_anti"))), "lists")
+        lists = materialize(lists.join(gone, "place", "left_anti"), "lists")
     return Index(chunks, *statistics(chunks, lists, materialize))
