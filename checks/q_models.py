@@ -27,12 +27,15 @@ def _train_test(spark, sf):
     return t.where("split = 'train'"), t.where("split = 'test'")
 
 
-def _fit_query(name, model, tree_scale=1.0):
+#: Each model is fitted once per session and data set, with all its trees; the queries share the fits.
+SHORTLIST = {name: once(lambda spark, sf, name=name: models.fit_shortlist(_train_test(spark, sf)[0], name))
+             for name in (models.LR, models.RF, models.GBT, models.DEEP)}
+
+
+def _fit_query(name, model):
     @query(name)
     def run(spark, sf):
-        train, test = _train_test(spark, sf)
-        fitted = models.fit_shortlist(train, model, tree_scale)
-        scored = models.predict(fitted, test.select("row_id", "label", *K.FEATURE_NAMES))
+        scored = models.predict(SHORTLIST[model](spark, sf), _train_test(spark, sf)[1].select("row_id", "label", *K.FEATURE_NAMES))
         return scored.select("row_id", "label", "probability", "predicted")
     return run
 
@@ -50,45 +53,43 @@ def ml_cv_f1(spark, sf):
     return spark.createDataFrame([(models.LR, mean, std)], "model string, cv_f1_mean double, cv_f1_std double")
 
 
-def _comparison(spark, sf, names=(models.LR, models.GBT), with_folds=False):
+@once
+def _comparison(spark, sf):
+    """All four models on the test rows. Cross-validation is ``ml_cv_f1``: five more fits a model."""
     train, test = _train_test(spark, sf)
-    return models.compare(train, test, list(names), with_folds=with_folds), train, test
+    return models.compare(train, test, with_folds=False, fitted={name: fit(spark, sf) for name, fit in SHORTLIST.items()})
 
 
 @query("ml_model_comparison")
 def ml_model_comparison(spark, sf):
-    return _comparison(spark, sf)[0].table.drop("train_seconds")
+    return _comparison(spark, sf).table.drop("train_seconds")
 
 
 @query("sort_models")
 def sort_models(spark, sf):
-    """Both model tables, best first: shortlist models by F1 and area, category models by macro F1."""
-    train, test = _train_test(spark, sf)
-    few_trees = models.compare(train, test, [models.LR, models.RF], tree_scale=0.05, with_folds=False).table
-    shortlist = few_trees.select(
+    """Both model tables, best first: all shortlist models by F1 and area, all category models by macro F1."""
+    shortlist = _comparison(spark, sf).table.select(
         F.lit("shortlist").alias("kind"), "model", F.row_number().over(Window.orderBy(F.desc("f1"), F.desc("roc_auc"))).alias("place"), "f1")
-    category = models.compare_categories(_category_data(spark, sf), ["Multinomial NB", "Logistic Regression"]).table.select(
+    fits = {name: fit(spark, sf) for name, fit in CATEGORY.items()}
+    category = models.compare_categories(_category_data(spark, sf), given=fits).table.select(
         F.lit("category").alias("kind"), "model", F.row_number().over(Window.orderBy(F.desc("macro_f1"), "model")).alias("place"), F.col("macro_f1").alias("f1"))
     return shortlist.unionByName(category)
 
 
 @query("sort_importance")
 def sort_importance(spark, sf):
-    train, _ = _train_test(spark, sf)
-    return models.importance(spark, models.fit_shortlist(train, models.LR))
+    return models.importance(spark, SHORTLIST[models.LR](spark, sf))
 
 
 @query("ml_predict_batch")
 def ml_predict_batch(spark, sf):
-    train, test = _train_test(spark, sf)
-    fitted = models.fit_shortlist(train, models.LR)
-    return models.predict(fitted, test.select("row_id", *K.FEATURE_NAMES))
+    return models.predict(SHORTLIST[models.LR](spark, sf), _train_test(spark, sf)[1].select("row_id", *K.FEATURE_NAMES))
 
 
 @query("sink_models")
 def sink_models(spark, sf):
     train, test = _train_test(spark, sf)
-    fitted = models.fit_shortlist(train, models.LR)
+    fitted = SHORTLIST[models.LR](spark, sf)
     path = scratch_path(spark, "model")
     models.save_model(spark, fitted, path, models.LR, K.SHORTLIST_PROBABILITY, {"rows": train.count()},
                       {r.feature: r.importance for r in models.importance(spark, fitted).collect()},
@@ -104,7 +105,7 @@ def sink_models(spark, sf):
 def sink_category_model(spark, sf):
     """A saved and loaded category model judges the test texts."""
     d, path = _category_data(spark, sf), scratch_path(spark, "category")
-    models.save_category_model(d, models.category_models(d.rows)["Multinomial NB"].fit(d.train), path, "Multinomial NB", {"rows": d.rows})
+    models.save_category_model(d, CATEGORY["Multinomial NB"](spark, sf), path, "Multinomial NB", {"rows": d.rows})
     loaded = models.load_category_model(spark, path)
     texts = _category_split(spark, sf).where("split = 'test'")
     return models.predict_categories(loaded, texts).select("row_id", F.posexplode("predicted_category").alias("pos", "t")) \
@@ -122,11 +123,19 @@ def _category_data(spark, sf):
     return models.category_data(_category_split(spark, sf))
 
 
+def _fit_category(spark, sf, name):
+    d = _category_data(spark, sf)
+    return models.category_models(d.rows)[name].fit(d.train)
+
+
+CATEGORY = {name: once(lambda spark, sf, name=name: _fit_category(spark, sf, name)) for name in ("Multinomial NB", "Logistic Regression", "Linear SVM")}
+
+
 def _category_query(name, model):
     @query(name)
     def run(spark, sf):
         d = _category_data(spark, sf)
-        scored = models.category_models(d.rows)[model].fit(d.train).transform(d.test)
+        scored = CATEGORY[model](spark, sf).transform(d.test)
         return scored.select("row_id", "category", models.predicted_category(d.labels).alias("predicted"))
     return run
 
@@ -138,7 +147,7 @@ _category_query("ml_category_svm", "Linear SVM")
 
 def _topk(spark, sf, model):
     d = _category_data(spark, sf)
-    scored = models.category_models(d.rows)[model].fit(d.train).transform(d.test)
+    scored = CATEGORY[model](spark, sf).transform(d.test)
     return scored.select("row_id", F.posexplode(models.top_categories(scored, d.labels)).alias("pos", "t")) \
         .select("row_id", (F.col("pos") + 1).alias("place"), "t.category", "t.score")
 

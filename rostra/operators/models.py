@@ -115,14 +115,15 @@ class Comparison:
 
 
 def compare(train: DataFrame, test: DataFrame, names: list[str] | None = None, tree_scale: float = 1.0,
-            threshold: float = K.SHORTLIST_PROBABILITY, with_folds: bool = True) -> Comparison:
-    """Fit each model, cross-validate it, score it on the test rows; the best has the highest F1, then AUC."""
+            threshold: float = K.SHORTLIST_PROBABILITY, with_folds: bool = True, fitted: dict[str, PipelineModel] | None = None) -> Comparison:
+    """Fit each model (unless it is among the ``fitted``), cross-validate it, score it on the test rows; the best has the
+    highest F1, then AUC."""
     spark = train.sparkSession
     rows, models = [], {}
     for name in names or [LR, RF, GBT, DEEP]:
         began = time.time()
         cv_mean, cv_std = cross_validated_f1(train, name, tree_scale=tree_scale) if with_folds else (None, None)
-        models[name] = fit_shortlist(train, name, tree_scale)
+        models[name] = fitted[name] if fitted and name in fitted else fit_shortlist(train, name, tree_scale)
         scored = predict(models[name], test.select("row_id", "label", *K.FEATURE_NAMES), threshold)
         m = metrics.binary_metrics(scored.select("label", "predicted", "probability"), "label", "predicted", "probability").first()
         rows.append((name, m.accuracy, m.precision, m.recall, m.f1, m.roc_auc, cv_mean, cv_std, time.time() - began))
@@ -287,14 +288,14 @@ def predict_categories(m: CategoryModel, texts: DataFrame, row_id: str = "row_id
     return scored.select(row_id, top_categories(scored, m.labels, k).alias("predicted_category"))
 
 
-def compare_categories(d: CategoryData, names: list[str] | None = None) -> Comparison:
-    """Fit each category model (or those named) and score it on the test rows; the best has the highest macro F1."""
+def compare_categories(d: CategoryData, names: list[str] | None = None, given: dict[str, Model] | None = None) -> Comparison:
+    """Fit each category model (or those named, unless it is ``given``) and score it on the test rows; the best has the highest macro F1."""
     rows, fitted = [], {}
     for name, estimator in category_models(d.rows).items():
         if names is not None and name not in names:
             continue
         began = time.time()
-        fitted[name] = estimator.fit(d.train)
+        fitted[name] = given[name] if given and name in given else estimator.fit(d.train)
         scored = fitted[name].transform(d.test).select("category", predicted_category(d.labels).alias("predicted"))
         m = metrics.multiclass_metrics(scored, "category", "predicted").first()
         rows.append((name, m.accuracy, m.macro_f1, m.weighted_f1, time.time() - began))
