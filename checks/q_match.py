@@ -10,7 +10,7 @@ from rostra import constants as K
 from rostra.functions import text as tx
 from rostra.functions.numbers import round_exact
 from rostra.functions.skills import extract_skills, join_sorted
-from rostra.operators import eda, generation, metrics, panel, profiles, scoring, tfidf
+from rostra.operators import eda, generation, metrics, panel, profiles, scoring, skew, tfidf
 from rostra.plans import screening
 from rostra.sources.fixtures import recipes, view
 
@@ -271,18 +271,16 @@ query("set_target_skills", TARGET + f"SELECT application_id, {ARR('target')} AS
     lambda spark, sf: data.matched(spark, sf).select("application_id", F.array_sort(F.array_union("jd_skills", "skills")).alias("target")))
 
 
-def _panel_pairs(spark, sf):
-    return panel.scored_pairs(panel.requests_of(data.matched(spark, sf)), view(spark, sf, "v_interviewer"))
-
-
-@query("panel_score", TARGET + """SELECT role, array_to_string(target, '|') AS target, CAST(need AS BIGINT) AS need, round(max(score), 9) AS best,
-  CAST(max(len(ov)) AS BIGINT) AS most_skills FROM sc JOIN d USING (rid) GROUP BY role, target, need""")
+@query("panel_score", TARGET + """SELECT role, array_to_string(target, '|') AS target, CAST(need AS BIGINT) AS need, slot, pool_ord, array_to_string(ov, '|') AS overlap, round(score, 9) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY rid, slot ORDER BY score DESC, pool_ord) AS rn FROM (SELECT *, unnest(list_append(list_transform(ov, lambda s: 'skill ' || s), 'level ' || level)) AS slot FROM sc))
+  JOIN d USING (rid) WHERE rn = 1""")
 def panel_score(spark, sf):
-    m = data.matched(spark, sf)
-    req = panel.requests_of(m).withColumn("request", F.sha2(F.to_json(F.struct("role_key", "target", "need")), 256))
-    best = panel.scored_pairs(panel.requests_of(m), view(spark, sf, "v_interviewer")).groupBy("request").agg(
-        F.round(F.max("score"), 9).alias("best"), F.max(F.size("overlap")).alias("most_skills"))
-    return req.join(best, "request").select(F.col("role_key").alias("role"), "target", "need", "best", "most_skills")
+    """Every score a panel can turn on: per request the best person of each level and for each skill of its target."""
+    lists = panel.short_lists(panel.requests_of(data.matched(spark, sf)), view(spark, sf, "v_interviewer"))
+    people = lists.select("request", F.col("role_key").alias("role"), F.array_join("target", "|").alias("target"), F.col("need").cast("bigint").alias("need"), F.explode("people").alias("p"))
+    slots = F.array_append(F.transform("p.overlap", lambda s: F.concat(F.lit("skill "), s)), F.concat(F.lit("level "), "p.level"))
+    best = people.select("request", "role", "target", "need", F.explode(slots).alias("slot"), "p").groupBy("request", "role", "target", "need", "slot").agg(F.max("p").alias("p"))
+    return best.select("role", "target", "need", "slot", (-F.col("p.turn")).alias("pool_ord"), F.array_join("p.overlap", "|").alias("overlap"), F.round("p.score", 9).alias("score"))
 
 
 @query("join_panel", TARGET + """SELECT r.role, array_to_string(r.target, '|') AS target, s.pool_ord, array_to_string(s.ov, '|') AS overlap, CAST(r.need AS BIGINT) AS need, round(max(s.score), 9) AS score FROM sc s JOIN d r USING (rid)
@@ -291,8 +289,9 @@ def join_panel(spark, sf):
     """Every request with all available interviewers who share a skill with it, and their scores."""
     people = panel.available(view(spark, sf, "v_interviewer")).withColumn("iv_role", F.lower("primary_role"))
     req = panel.requests_of(data.matched(spark, sf)).withColumn("request", F.sha2(F.to_json(F.struct("role_key", "target", "need")), 256))
-    met = req.select("request", F.explode("target").alias("skill")).join(
-        people.select("pool_ord", F.explode("iv_skills").alias("skill")), "skill").groupBy("request", "pool_ord").agg(F.array_sort(F.collect_set("skill")).alias("overlap"))
+    asked = req.select("request", F.explode("target").alias("skill"))
+    holders = people.select("pool_ord", F.explode("iv_skills").alias("skill")).join(asked.groupBy("skill").agg(F.count("*").alias("asked")), "skill")
+    met = skew.spread_join(asked, holders, "skill", "request", "asked").groupBy("request", "pool_ord").agg(F.array_sort(F.collect_set("skill")).alias("overlap"))
     j = met.join(req, "request").join(people, "pool_ord")
     same = (F.col("role_key") != "") & (F.col("role_key") == F.col("iv_role"))
     return j.select(F.col("role_key").alias("role"), "target", "pool_ord", "overlap", "need", F.round(panel.panel_score(
