@@ -158,7 +158,7 @@ from rostra.sources.fixtures import SKILL  # noqa: E402
 
 @query("join_vocab", q.TEXTS + f"SELECT text_id, {q.joined(q.skills('text', sorted(set(K.BASE_SKILLS) | set(SKILL))))} AS skills FROM v_texts")
 def join_vocab(spark, sf):
-    return sk.add_skills(data.texts(spark, sf), "text", full_vocabulary(spark, sf), "text_id").select("text_id", "skills")
+    return sk.add_skills(data.texts(spark, sf), "text", full_vocabulary(spark, sf)).select("text_id", "skills")
 
 
 @query("role_skill_profile", oracle_with("v_screening") + f""",

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rostra import constants as K
-from rostra.functions.binding import let
-from rostra.functions.skills import AFTER, BEFORE, SPECIAL
-from rostra.operators.skew import spread_join
+from rostra.functions.automaton import Terms, leftmost_longest
 from rostra.session import materialize
 
+CHARS_AT_ONCE = 4_000_000  # characters of the vocabulary in one broadcast trie
+
 
 def mine_skills(texts: DataFrame, text: str, min_freq: int = 3, weight: str | None = None) -> DataFrame:
     """Skills listed after "proficient in", "skills:" or "skilled in" at least ``min_freq`` times."""
@@ -31,42 +33,36 @@ def full_vocabulary(base: DataFrame, mined: DataFrame) -> DataFrame:
             .select(F.trim(F.lower("skill")).alias("skill")).where(F.col("skill") != "").distinct())
 
 
-def _escape(term: Column) -> Column:
-    specials = "".join("\\" + c for c in sorted(SPECIAL))
-    return F.regexp_replace(term, f"([{specials}])", r"\\$1")
+def _places(trie: Broadcast):
+    """The part of the vocabulary behind ``trie``, looked up in a lower-case text: places found before go in, all come out."""
+    def find(low: pd.Series, known: pd.Series) -> pd.Series:
+        return trie.value.find(low, known)
+
+    return F.pandas_udf(find, "array<int>")
 
 
-def add_skills(docs: DataFrame, text: str, vocabulary: DataFrame, doc_id: str,
-               name: str = "skills") -> DataFrame:
-    """Match a vocabulary of any size; an empty one is replaced by the base skills.
+def add_skills(docs: DataFrame, text: str, vocabulary: DataFrame, name: str = "skills", at_once: int = CHARS_AT_ONCE) -> DataFrame:
+    """Match a vocabulary of any size; an empty one is replaced by the base skills. A missing text has no skills.
 
-    Every term is filed under its rarest run: of letters a-z and digits, or a single other character. A text can only
-    contain the term if that run is one of its own runs, so an equi-join on runs yields the few candidate terms of a
-    text; the exact matching rules are then applied inside the row with a pattern made of those candidates alone.
+    Texts stay where they lie. The vocabulary is dealt into parts of about ``at_once`` characters, each broadcast as a trie;
+    a text is walked once per part and keeps, for every place, the longest term found there so far. What counts is read
+    off at the end, from the left, as the pattern of the whole vocabulary would find it.
     """
-    run = r"[a-z0-9]+|[^a-z0-9\s]"
+    spark = docs.sparkSession
     terms = materialize(vocabulary.select(F.trim(F.lower("skill")).alias("skill")).where(F.col("skill") != "").distinct(), "skills")
-    if terms.limit(1).count() == 0:
-        terms = docs.sparkSession.createDataFrame([(s,) for s in K.BASE_SKILLS], "skill string")
-    vocabulary = terms
-    runs = vocabulary.select("skill", F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower("skill"), F.lit(run), 0))).alias("run"))
-    frequency = runs.groupBy("run").agg(F.count("*").alias("n"))
-    filed = (runs.join(frequency, "run").groupBy("skill")
-             .agg(F.min(F.struct("n", "run")).getField("run").alias("run")))
-    doc_runs = docs.select(doc_id, F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(text), F.lit(run), 0))).alias("run"))
-    # Runs that very many texts have are spread over many tasks.
-    found_in = doc_runs.join(filed.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count("*").alias("texts"))
-    candidates = (spread_join(doc_runs, filed.join(found_in, "run"), "run", doc_id, "texts").groupBy(doc_id)
-                  .agg(F.collect_set("skill").alias("__terms")))
-    longest_first = lambda a, b: F.length(b) - F.length(a)
-    with_terms = docs.join(candidates, doc_id, "left").withColumn(
-        "__terms", F.array_sort(let(F.lower(text), lambda low: F.filter("__terms", lambda t: low.contains(t))), longest_first))
-    pattern = F.concat(F.lit(BEFORE + "("), F.array_join(F.transform("__terms", _escape), "|"), F.lit(")" + AFTER))
-    found = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(text), pattern, 1)))
-    return with_terms.withColumn(
-        name, F.when(F.size("__terms") > 0, found).otherwise(F.array().cast("array<string>"))).drop("__terms")
+    chars = terms.agg(F.sum(F.length("skill"))).first()[0]
+    if chars is None:
+        terms, chars = spark.createDataFrame([(s,) for s in K.BASE_SKILLS], "skill string"), 0
+    parts = max(1, -(-chars // at_once))
+    found = docs.withColumn("__low", F.lower(text)).withColumn("__found", F.lit(None).cast("array<int>"))
+    for part in range(parts):
+        mine = terms.where(F.pmod(F.xxhash64("skill"), F.lit(parts)) == part)
+        trie = spark.sparkContext.broadcast(Terms(mine.toArrow()["skill"].to_pylist()))
+        found = found.withColumn("__found", _places(trie)("__low", "__found"))
+        if parts > 1:
+            found = materialize(found, "places")  # one part at a time in a worker's memory
+    chosen = F.pandas_udf(leftmost_longest, "array<string>")
+    return found.withColumn(name, chosen("__low", "__found")).drop("__low", "__found")
 
 
 def role_skill_profile(rows: DataFrame, roles: int | None = None, first: int | None = None, top: int = 15) -> DataFrame:

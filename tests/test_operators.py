@@ -141,7 +141,7 @@ def test_skill_join_equals_pattern(spark):
     texts = ["python and c++; node.js", "machine learning systems", ".net core", "nothing", "learning systems", "日本語 c# résumé", "語学", "résumé?"]
     terms = ["python", "c++", "node.js", "machine learning", "learning systems", ".net", "core", "日本", "語", "é", "c#"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
-    by_join = rows(skills.add_skills(docs, "t", spark.createDataFrame([(s,) for s in terms], "skill string"), "id").select("id", "skills"), "id")
+    by_join = rows(skills.add_skills(docs, "t", spark.createDataFrame([(s,) for s in terms], "skill string")).select("id", "skills"), "id")
     assert by_join == rows(docs.select("id", extract_skills(F.col("t"), terms).alias("skills")), "id")
     assert by_join[1] == (1, ["machine learning"]) and by_join[5] == (5, ["c#", "日本", "語"])
 
@@ -149,7 +149,7 @@ def test_skill_join_equals_pattern(spark):
 def test_empty_vocabulary_means_the_base_skills(spark):
     docs = spark.createDataFrame([(1, "python and excel"), (2, "zebra")], "id int, t string")
     none = spark.createDataFrame([], "skill string")
-    assert rows(skills.add_skills(docs, "t", none, "id").select("id", "skills"), "id") == [(1, ["excel", "python"]), (2, [])]
+    assert rows(skills.add_skills(docs, "t", none).select("id", "skills"), "id") == [(1, ["excel", "python"]), (2, [])]
     assert rows(docs.select("id", extract_skills(F.col("t"), []).alias("skills")), "id") == [(1, ["excel", "python"]), (2, [])]
 
 
