@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import sqlkit as q
 from checks.q_tables import LOG_SQL, _log_files
+from checks.q_match import RANK
 from checks.registry import query
 from rostra.session import scratch_path
 from rostra.sources import tables as io
@@ -33,13 +34,31 @@ def stream_usage(spark, sf):
     return spark.read.parquet(out)
 
 
+def _arrivals(spark, sf, files: int, twice: bool):
+    """Applications with their resumes as files that arrive, and the stream that reads them."""
+    a = view(spark, sf, "v_application").join(view(spark, sf, "v_candidate").select("candidate_id", "resume"), "candidate_id")
+    rows = a.select("application_id", "candidate_id", "job_id", "resume", F.to_timestamp("applied_at").alias("applied_at"))
+    path = scratch_path(spark, "arrivals")
+    (rows.unionByName(rows) if twice else rows).repartition(files).write.parquet(path)
+    return spark.readStream.schema(rows.schema), path
+
+
 @query("stream_screen", q.FACTS + """SELECT application_id, job_id, rule1 AS final_score, decision, coalesce(array_to_string(hit[1:6], ', '), '') AS matched_skills FROM scored""")
 def stream_screen(spark, sf):
     """Applications arrive as files, each one twice; every id is scored once."""
-    a = view(spark, sf, "v_application").join(view(spark, sf, "v_candidate").select("candidate_id", "resume"), "candidate_id")
-    rows = a.select("application_id", "candidate_id", "job_id", "resume", F.to_timestamp("applied_at").alias("applied_at"))
-    arrivals, out = scratch_path(spark, "arrivals"), scratch_path(spark, "screened")
-    rows.unionByName(rows).repartition(4).write.parquet(arrivals)
-    stream = spark.readStream.schema(rows.schema).parquet(arrivals)
-    jobs.run_to_end(jobs.screen_arrivals(stream, view(spark, sf, "v_job")), out, scratch_path(spark, "screen-state"))
+    reader, arrivals = _arrivals(spark, sf, 4, twice=True)
+    out = scratch_path(spark, "screened")
+    jobs.run_to_end(jobs.screen_arrivals(reader.parquet(arrivals), view(spark, sf, "v_job")), out, scratch_path(spark, "screen-state"))
     return spark.read.parquet(out).select("application_id", "job_id", "final_score", "decision", "matched_skills")
+
+
+@query("stream_rank", q.FACTS + f"""SELECT * FROM (SELECT application_id, job_id, rule1 AS final_score, decision, {RANK} AS rank FROM scored) WHERE rank <= 20""")
+def stream_rank(spark, sf):
+    """Applications arrive in three batches; the twenty best of every job after the last one."""
+    reader, arrivals = _arrivals(spark, sf, 12, twice=False)
+    stream = reader.option("maxFilesPerTrigger", 4).parquet(arrivals)
+    path = scratch_path(spark, "standing")
+    # No application is late here, however the files deal out the dates.
+    scored = jobs.screen_arrivals(stream, view(spark, sf, "v_job"), late="3650 days")
+    jobs.keep_ranking(scored, path, scratch_path(spark, "rank-state")).awaitTermination()
+    return jobs.standing(spark, path).select("application_id", "job_id", "final_score", "decision", F.col("rank").cast("bigint").alias("rank"))

@@ -1,10 +1,10 @@
-"""Structured Streaming jobs: usage-log roll-up and screening of arriving applications."""
+"""Structured Streaming jobs: usage-log roll-up, screening of arriving applications, and their ranking kept up to date."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rostra import constants as K
 from rostra.operators import profiles, scoring, tfidf
@@ -35,6 +35,56 @@ def screen_arrivals(arrivals: DataFrame, jobs: DataFrame, vocabulary: Iterable[s
     return ranking_rows(scoring.add_decision(scoring.add_match(pairs)))
 
 
+KEPT_PER_JOB = 20
+
+
+def _last_batch(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    done = spark.read.schema("batch long").parquet(f"{path}/done")
+    return (done if before is None else done.where(F.col("batch") < before)).agg(F.max("batch")).first()[0]
+
+
+def standing(spark: SparkSession, path: str) -> DataFrame:
+    """The best applications per job after the last finished batch, with their ``rank``."""
+    return spark.read.parquet(f"{path}/standing/{_last_batch(spark, path)}")
+
+
+def revisions(spark: SparkSession, path: str) -> DataFrame:
+    """What every batch changed: ``batch, job_id, application_id, rank_before, rank`` (null: not among the best)."""
+    return spark.read.parquet(f"{path}/revisions")
+
+
+def revise(batch: DataFrame, number: int, path: str, keep: int = KEPT_PER_JOB) -> None:
+    """Merge the scored applications of one batch into the standing of the batch before.
+
+    Every batch writes a standing of its own and is entered as done last, so a batch that is repeated after a failure
+    starts from the same standing and overwrites its own files only. A job's rows are cut to the best ``keep`` in every
+    task before they are shuffled, however many applications one job has.
+    """
+    spark = batch.sparkSession
+    last = _last_batch(spark, path, number) if number else None
+    old = batch.limit(0).withColumn("rank", F.lit(0)) if last is None else spark.read.parquet(f"{path}/standing/{last}")
+    key = ["job_id", "application_id"]
+    rows = old.drop("rank").unionByName(batch.join(old.select(key), key, "left_anti"))
+    place = F.row_number().over(Window.partitionBy("job_id").orderBy(F.desc("final_score"), "application_id"))
+    rows.withColumn("rank", place).where(F.col("rank") <= keep).write.mode("overwrite").parquet(f"{path}/standing/{number}")
+    now = spark.read.parquet(f"{path}/standing/{number}").select(*key, "rank")
+    changed = old.select(*key, F.col("rank").alias("rank_before")).join(now, key, "full") \
+        .where(~F.col("rank_before").eqNullSafe(F.col("rank")))
+    changed.write.mode("overwrite").parquet(f"{path}/revisions/batch={number}")
+    spark.range(number, number + 1).toDF("batch").write.mode("overwrite").parquet(f"{path}/done/part={number}")
+
+
+def keep_ranking(scored: DataFrame, path: str, checkpoint: str, keep: int = KEPT_PER_JOB, available_now: bool = True):
+    """Start a query that keeps the best ``keep`` applications of every job, from rows like those of ``screen_arrivals``.
+
+    One ``path`` belongs to one ``checkpoint``: after a restart the query goes on with the standing of the last
+    finished batch.
+    """
+    writer = scored.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, number: revise(batch, number, path, keep))
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def run_to_end(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Process everything that is available, write parquet, stop.
 
