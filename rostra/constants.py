@@ -175,6 +175,22 @@ Answer in 2-5 sentences with citations."""
 RESUME_PROMPT_CHARS = 3500
 QUESTION_PROMPT_CHARS = 2500
 
+# --- fixed values: summary of an application ----------------------------------------------------------------------------
+SUMMARY_PROFILE = "**Profile**"
+SUMMARY_LEAD = "Candidate with about {years} years of experience (education: {education}) and {n} identifiable skills"
+SUMMARY_CATEGORY = ", most aligned with {category}"
+SUMMARY_STRENGTHS = "**Strengths for this role**"
+SUMMARY_STRENGTH = "- Demonstrates {s}"
+SUMMARY_NO_STRENGTH = "- No direct skill overlap detected"
+SUMMARY_SIMILARITY = "- Semantic similarity to the JD: {percent}"
+SUMMARY_GAPS = "**Gaps or risks to verify**"
+SUMMARY_GAP = "- No evidence of {s}"
+SUMMARY_NO_GAP = "- No major skill gaps detected"
+SUMMARY_BEHIND = "- Experience is about {years} years below the stated requirement"
+SUMMARY_ADVICE = "**Recommendation:** {decision} - {reason}"
+SUMMARY_MOST_STRENGTHS = 5
+SUMMARY_MOST_GAPS = 4
+
 # --- fixed values: interview question bank ---------------------------------------------------------------------------------------
 QUESTION_COUNT = 8
 TECHNICAL_QUESTION = ("Walk us through a recent piece of work where you used {s}. "
