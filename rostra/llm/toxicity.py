@@ -21,6 +21,7 @@ LEAST_G2, LEAST_DOCS = 16.0, 3
 NEAREST, POWER, PRIOR = 16, 4, 1.0
 BLOCK = 32  # examples of a block
 FIRST_BLOCKS = 4
+READ_WHOLE = 1 << 16  # postings that cost less to read than bounds of blocks cost to weigh
 HELD_WORDS = 1 << 18
 EVIDENCE = 3
 CACHED = 1 << 16  # results a task keeps
@@ -102,7 +103,10 @@ def _frequencies(counted: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
 
 
 class BlockMaxIndex:
-    """Distinct example vectors in blocks of ``BLOCK`` like ones; each term has, for each block, its postings and their largest weight."""
+    """Distinct example vectors in blocks of ``BLOCK`` like ones; each term has, for each block, its postings and their largest weight.
+
+    The same postings are kept in the order of their terms too: where a text's lists are short, they are read whole.
+    """
 
     def __init__(self, vectors: list[tuple[tuple, tuple]], idf: np.ndarray):
         self.idf, self.size = idf, len(vectors)
@@ -119,6 +123,9 @@ class BlockMaxIndex:
         self.most = np.zeros(self.blocks * len(idf))
         np.maximum.at(self.most, cell, self.weight)
         self.most = self.most.reshape(self.blocks, -1)
+        by_term = np.lexsort((rows, terms))
+        self.list_row, self.list_weight = rows[by_term], weights[by_term]
+        self.list_edge = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
 
     def weights(self, terms: tuple, tfs: tuple) -> np.ndarray:
         raw = (1 + np.log(np.array(tfs, float))) * self.idf[np.array(terms, np.int64)]
@@ -127,6 +134,26 @@ class BlockMaxIndex:
     def nearest(self, terms: tuple, tfs: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` rows of highest cosine above 0, and all that tie with the last, with their cosines; highest first."""
         query, at = self.weights(terms, tfs), np.array(terms, np.int64)
+        rows, sims = self._of_lists(query, at) if int((self.list_edge[at + 1] - self.list_edge[at]).sum()) <= READ_WHOLE else self._of_blocks(query, at, k)
+        if len(sims) > k:
+            keep = sims >= np.partition(sims, len(sims) - k)[len(sims) - k]
+            rows, sims = rows[keep], sims[keep]
+        order = np.lexsort((rows, -sims))
+        return rows[order], sims[order]
+
+    def _of_lists(self, query: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All rows that have one of the terms, with their cosines."""
+        return self._sums(self.list_row, self.list_weight, self.list_edge[at], self.list_edge[at + 1] - self.list_edge[at], query)
+
+    def _sums(self, row: np.ndarray, weight: np.ndarray, start: np.ndarray, times: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines from runs of postings given by term, so that sums are in one order and ties are ties."""
+        which = np.repeat(start - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+        scores = np.bincount(row[which], weight[which] * np.repeat(query, times), self.size)
+        found = np.flatnonzero(scores)
+        return found, np.round(scores[found], 12)
+
+    def _of_blocks(self, query: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of the blocks that can hold one of the ``k`` best."""
         bound = self.most[:, at] @ query * (1 + 1e-9)
         turn = np.argsort(-bound, kind="stable")
         rows, sims, least, done, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, FIRST_BLOCKS
@@ -134,16 +161,13 @@ class BlockMaxIndex:
             some = turn[done:done + step]
             some = some[(bound[some] > 0) & (bound[some] >= least)]
             start, times = self.start[some][:, at].T.ravel(), (self.stop[some][:, at] - self.start[some][:, at]).T.ravel()
-            which = np.repeat(start - np.cumsum(times) + times, times) + np.arange(int(times.sum()))  # by term, so sums are in one order
-            found, place = np.unique(self.row[which], return_inverse=True)
-            scores = np.round(np.bincount(place, self.weight[which] * np.repeat(np.repeat(query, len(some)), times), len(found)), 12)  # ties are ties
+            found, scores = self._sums(self.row, self.weight, start, times, np.repeat(query, len(some)))
             rows, sims = np.append(rows, found), np.append(sims, scores)
             if len(sims) > k:
                 least = np.partition(sims, len(sims) - k)[len(sims) - k]
                 rows, sims = rows[sims >= least], sims[sims >= least]
             done, step = done + step, step * 2
-        order = np.lexsort((rows, -sims))
-        return rows[order], sims[order]
+        return rows, sims
 
 
 @dataclass

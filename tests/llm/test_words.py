@@ -178,6 +178,19 @@ def test_block_max_search_equals_full_product():
     assert len(toxicity.BlockMaxIndex([], idf).nearest((1, 2), (1, 1), 5)[0]) == 0
 
 
+def test_short_lists_are_read_without_bounds_of_blocks(monkeypatch):
+    """F op13: the bounds of all blocks cost more than the lists; long lists still go by blocks, with the same rows and cosines."""
+    rng = random.Random(4)
+    vectors = sorted({(t, tuple(rng.randint(1, 3) for _ in t)) for t in (tuple(sorted(rng.sample(range(40), rng.randint(1, 9)))) for _ in range(900))})
+    idf = np.array([1 + rng.random() for _ in range(40)])
+    whole, blocks = toxicity.BlockMaxIndex(vectors, idf), toxicity.BlockMaxIndex(vectors, idf)
+    whole.most = None
+    got = [whole.nearest(*v, 16) for v in vectors[::9]]
+    monkeypatch.setattr(toxicity, "READ_WHOLE", -1, raising=False)
+    want = [blocks.nearest(*v, 16) for v in vectors[::9]]
+    assert all((a == c).all() and (b == d).all() and len(a) >= 16 for (a, b), (c, d) in zip(got, want))
+
+
 def toxic_rows():
     rng = random.Random(5)
     plain = [f"word{k}" for k in range(300)]
