@@ -11,6 +11,7 @@ from rostra.functions import text as tx
 from rostra.functions.skills import extract_skills
 from rostra.operators import profiles, skills as sk, tfidf
 from rostra.operators.chunks import chunk_documents
+from rostra.session import materialize
 from rostra.sources.fixtures import oracle_with, view
 
 
@@ -71,8 +72,11 @@ def txt_tokens(spark, sf):
 w AS (SELECT row_id, {q.clean('resume')} AS r, list_filter(string_split({q.clean('job_role')}, ' '), lambda w: length(w) > 2) AS ws FROM v_screening)
 SELECT row_id, CASE WHEN len(ws) = 0 THEN 0.0 ELSE len(list_filter(ws, lambda w: contains(r, w)))::DOUBLE / len(ws) END AS role_hit FROM w""")
 def txt_role_hit(spark, sf):
-    s = view(spark, sf, "v_screening")
-    return s.select("row_id", tx.role_hit(tx.role_words(F.col("job_role")), tx.clean(F.col("resume"))).alias("role_hit"))
+    """A resume is cleaned once per candidate, a role is cut once per job; applications meet what is left."""
+    a = view(spark, sf, "v_application").select(F.col("application_id").alias("row_id"), "candidate_id", "job_id")
+    c = materialize(view(spark, sf, "v_candidate").select("candidate_id", tx.clean(F.col("resume")).alias("cleaned")), "cleaned")
+    j = view(spark, sf, "v_job").select("job_id", tx.role_words(F.col("job_role")).alias("words"))
+    return a.join(c, "candidate_id").join(j, "job_id").select("row_id", tx.role_hit(F.col("words"), F.col("cleaned")).alias("role_hit"))
 
 
 @query("profile_resume", oracle_with("v_candidate") + f"""

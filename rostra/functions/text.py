@@ -23,8 +23,10 @@ def strip(text: Column) -> Column:
 def clean(text: Column) -> Column:
     """Lower-case, drop links and mail addresses, keep ``a-z0-9+#./-``, collapse spaces."""
     out = F.lower(text)
-    out = F.regexp_replace(out, rf"https?://[^{WS}]+|www\.[^{WS}]+", " ")
-    out = F.regexp_replace(out, rf"[^{WS}]+@[^{WS}]+", " ")
+    # A pattern is walked only where a text has what it needs; "contains" compares bytes.
+    out = F.when(out.contains("http") | out.contains("www."), F.regexp_replace(out, rf"https?://[^{WS}]+|www\.[^{WS}]+", " ")).otherwise(out)
+    # A mail address is a whole word with an inner "@", so a match is tried at the start of a word only and never goes back.
+    out = F.when(out.contains("@"), F.regexp_replace(out, rf"(?<![^{WS}])[^{WS}][^{WS}@]*+@[^{WS}]+", " ")).otherwise(out)
     # Both "not allowed" characters and white space end up as single spaces.
     return F.trim(F.regexp_replace(out, r"[^a-z0-9+#./-]+", " "))
 
