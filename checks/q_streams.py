@@ -25,9 +25,11 @@ def stream_usage(spark, sf):
     ends = log.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
     late = log.where(F.col("ts") < F.least(F.lit(ends.a) + F.expr("interval 1 day"), F.lit(ends.b) - F.expr("interval 3 hours")))
     ahead = log.limit(1).withColumn("ts", F.lit(ends.b) + F.expr("interval 3 days"))
-    # A trigger takes as many files as the log has; files are taken in the order they were written.
-    for batch in [ahead] * first + [late]:
-        batch.coalesce(1).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    # A trigger takes as many files as the log has; files are taken in the order they were written. Every batch has that many files
+    # at most, so no task reads or writes more of the log than its share.
+    copies = spark.range(0, first, 1, first).crossJoin(F.broadcast(ahead)).select(*log.columns)
+    for batch in [copies, late.repartition(first)]:
+        batch.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
     stream = spark.readStream.schema(io.USAGE_LOG_SCHEMA).option("maxFilesPerTrigger", first).json(path)
     out = scratch_path(spark, "usage")
     jobs.run_to_end(jobs.usage_per_hour(stream), out, scratch_path(spark, "usage-state"))

@@ -96,8 +96,10 @@ def _log(spark, sf):
 
 
 def _log_files(spark, sf):
+    """Four files, or one for each split of a larger table, so a file does not grow with the log."""
     path = scratch_path(spark, "log")
-    _log(spark, sf).repartition(4).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    log = _log(spark, sf)
+    log.repartition(max(4, log.rdd.getNumPartitions())).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
     return path
 
 
