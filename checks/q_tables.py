@@ -81,10 +81,10 @@ def src_alias_columns(spark, sf):
 
 @query("src_documents", "SELECT md5(coalesce(text, '')) AS text, count(*) AS files FROM documents GROUP BY 1")
 def src_documents(spark, sf):
-    """One text file per document in folders per language, read back whole."""
+    """One text file per document in folders per language, read back whole. Tasks move their own files in place, not the driver one by one."""
     root = scratch_path(spark, "docs")
     view(spark, sf, "documents").select("lang", F.coalesce("text", F.lit("")).alias("text")).write.partitionBy("lang") \
-        .option("maxRecordsPerFile", 1).text(root)
+        .option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)
     read = io.read_documents(spark, root)
     return read.groupBy(F.md5(F.regexp_replace("text", "\n$", "")).alias("text")).agg(F.count("*").alias("files"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from rostra import constants as K
 from rostra.sources.records import read_records
 
+SPLITS_PER_CORE, SPLITS_PER_TASK = 8, 64  # of small files
 USAGE_LOG_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampType()), T.StructField("purpose", T.StringType()),
     T.StructField("provider", T.StringType()), T.StructField("model", T.StringType()),
@@ -116,8 +117,12 @@ def discover(spark: SparkSession, path: str, required: list[str], forbidden: lis
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Markdown and text documents under a folder, read-me files left out, in path order."""
+    """Markdown and text documents under a folder, read-me files left out, in path order.
+
+    Spark counts every small file as one of several MB, which would give a task a handful of files: splits are put together.
+    """
     docs = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    docs = docs.coalesce(max(SPLITS_PER_CORE * spark.sparkContext.defaultParallelism, docs.rdd.getNumPartitions() // SPLITS_PER_TASK))
     name = F.lower(F.col("_metadata.file_name"))
     return (
         docs.where(name.rlike(r"\.(md|txt)$") & ~name.startswith("readme"))
