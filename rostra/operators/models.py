@@ -207,7 +207,7 @@ def sparse_vectors(df: DataFrame, size: int) -> DataFrame:
     kept = [f for f in df.schema if f.name not in ("indices", "values")]
     parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), "indices", "values")
     path = scratch_path(df.sparkSession, "vectors")
-    df.select(*(f.name for f in kept), parts.alias("features")).write.parquet(path)
+    df.select(*(f.name for f in kept), parts.alias("features")).write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(StructType([*kept, StructField("features", VectorUDT())])).parquet(path)
 
 
@@ -235,7 +235,7 @@ class CategoryData:
 def category_data(rows: DataFrame, row_id: str = "row_id", max_terms: int = tfidf.MAX_TERMS_CATEGORY) -> CategoryData:
     """Train and test vectors of ``(row_id, resume, category, split)``; vocabulary fitted on train only."""
     # Written, not cached: terms are several times as long as the texts, and a cached batch of 10,000 long rows is built whole in memory.
-    counted = materialize(tfidf.count_terms(rows.select(row_id, "category", "split", tx.clean(F.col("resume")).alias("t")), F.col("t")).drop("t"), "counted")
+    counted = materialize(tfidf.count_terms(rows.select(row_id, "category", "split", tx.clean(F.col("resume")).alias("t")), F.col("t")).drop("t"), "counted", "zstd")
     train_counts = counted.where(F.col("split") == "train")
     vocabulary = tfidf.fit(train_counts, tfidf.document_count(train_counts), 2, max_terms).persist()
     indexer = StringIndexer(inputCol="category", outputCol="class_index", stringOrderType="alphabetAsc").fit(rows)

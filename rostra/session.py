@@ -49,14 +49,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where one result feeds several branches and computing it again would cost a second pass
     over the texts, and where row positions must stay fixed. The copy survives a lost executor.
+    ``compression`` is the session's unless it is given.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
