@@ -21,7 +21,9 @@ LEAST_G2, LEAST_DOCS = 16.0, 3
 NEAREST, POWER, PRIOR = 16, 4, 1.0
 BLOCK = 32  # examples of a block
 FIRST_BLOCKS = 4
-READ_WHOLE = 1 << 16  # postings that cost less to read than bounds of blocks cost to weigh
+SLACK = 1e-4  # more than single precision can be wrong by: a cosine is a sum of at most MOST_TERMS products and at most 1
+TEXTS_AT_ONCE = 256
+PAIRS_AT_ONCE = 1 << 13  # pairs of a text and an example whose postings are in memory together
 HELD_WORDS = 1 << 18
 EVIDENCE = 3
 CACHED = 1 << 16  # results a task keeps
@@ -103,71 +105,92 @@ def _frequencies(counted: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
 
 
 class BlockMaxIndex:
-    """Distinct example vectors in blocks of ``BLOCK`` like ones; each term has, for each block, its postings and their largest weight.
+    """Distinct example vectors, sorted, in blocks of ``BLOCK`` like ones, with the largest weight of each term in each block.
 
-    The same postings are kept in the order of their terms too: where a text's lists are short, they are read whole.
+    Texts are looked up many at a time. A product with the largest weights tells which blocks can hold one of a text's best; those blocks are
+    multiplied by the texts that ask for them, in single precision. What comes within ``SLACK`` of the threshold is summed again
+    from its postings, term by term, in double precision, so a cosine does not depend on the texts that it is looked up with.
     """
 
     def __init__(self, vectors: list[tuple[tuple, tuple]], idf: np.ndarray):
         self.idf, self.size = idf, len(vectors)
         self.blocks = max(-(-self.size // BLOCK), 1)
-        rows = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors]).astype(np.int64)
-        terms = np.array([t for ts, _ in vectors for t in ts], np.int64)
-        weights = np.concatenate([self.weights(t, f) for t, f in vectors]) if len(rows) else np.zeros(0)
-        order = np.lexsort((rows, terms, rows // BLOCK))
-        self.row, self.weight = rows[order], weights[order]
-        cell = self.row // BLOCK * len(idf) + terms[order]
-        edge = np.searchsorted(cell, np.arange(self.blocks * len(idf) + 1))
-        self.start = edge[:-1].reshape(self.blocks, -1)
-        self.stop = edge[1:].reshape(self.blocks, -1)
-        self.most = np.zeros(self.blocks * len(idf))
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(self.blocks, -1)
-        by_term = np.lexsort((rows, terms))
-        self.list_row, self.list_weight = rows[by_term], weights[by_term]
-        self.list_edge = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
+        self.edge = np.append(0, np.cumsum([len(t) for t, _ in vectors], dtype=np.int64))
+        self.term = np.array([t for ts, _ in vectors for t in ts], np.int64)
+        self.weight = np.concatenate([self.weights(t, f) for t, f in vectors]) if vectors else np.zeros(0)
+        self.tables = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "tables": None}
 
     def weights(self, terms: tuple, tfs: tuple) -> np.ndarray:
         raw = (1 + np.log(np.array(tfs, float))) * self.idf[np.array(terms, np.int64)]
         return raw / np.sqrt((raw * raw).sum())
 
+    def _tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """The weights by block, row and term, and the largest of each block; every process makes them for itself."""
+        if self.tables is None:
+            dense = np.zeros((self.blocks * BLOCK, len(self.idf)), np.float32)
+            dense[np.repeat(np.arange(self.size), np.diff(self.edge)), self.term] = self.weight
+            dense = dense.reshape(self.blocks, BLOCK, len(self.idf))
+            self.tables = dense, dense.max(axis=1)
+        return self.tables
+
     def nearest(self, terms: tuple, tfs: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` rows of highest cosine above 0, and all that tie with the last, with their cosines; highest first."""
-        query, at = self.weights(terms, tfs), np.array(terms, np.int64)
-        rows, sims = self._of_lists(query, at) if int((self.list_edge[at + 1] - self.list_edge[at]).sum()) <= READ_WHOLE else self._of_blocks(query, at, k)
-        if len(sims) > k:
-            keep = sims >= np.partition(sims, len(sims) - k)[len(sims) - k]
-            rows, sims = rows[keep], sims[keep]
-        order = np.lexsort((rows, -sims))
-        return rows[order], sims[order]
-
-    def _of_lists(self, query: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All rows that have one of the terms, with their cosines."""
-        return self._sums(self.list_row, self.list_weight, self.list_edge[at], self.list_edge[at + 1] - self.list_edge[at], query)
-
-    def _sums(self, row: np.ndarray, weight: np.ndarray, start: np.ndarray, times: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines from runs of postings given by term, so that sums are in one order and ties are ties."""
-        which = np.repeat(start - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
-        scores = np.bincount(row[which], weight[which] * np.repeat(query, times), self.size)
-        found = np.flatnonzero(scores)
-        return found, np.round(scores[found], 12)
-
-    def _of_blocks(self, query: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The rows of the blocks that can hold one of the ``k`` best."""
-        bound = self.most[:, at] @ query * (1 + 1e-9)
-        turn = np.argsort(-bound, kind="stable")
-        rows, sims, least, done, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, FIRST_BLOCKS
-        while done < len(turn) and bound[turn[done]] > 0 and bound[turn[done]] >= least:
-            some = turn[done:done + step]
-            some = some[(bound[some] > 0) & (bound[some] >= least)]
-            start, times = self.start[some][:, at].T.ravel(), (self.stop[some][:, at] - self.start[some][:, at]).T.ravel()
-            found, scores = self._sums(self.row, self.weight, start, times, np.repeat(query, len(some)))
-            rows, sims = np.append(rows, found), np.append(sims, scores)
-            if len(sims) > k:
-                least = np.partition(sims, len(sims) - k)[len(sims) - k]
-                rows, sims = rows[sims >= least], sims[sims >= least]
-            done, step = done + step, step * 2
-        return rows, sims
+        return self.nearest_of([(terms, tfs)], k)[0]
+
+    def nearest_of(self, texts: list[tuple[tuple, tuple]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for each of the texts."""
+        asked = np.zeros((len(texts), len(self.idf)))
+        for i, (terms, tfs) in enumerate(texts):
+            asked[i, np.array(terms, np.int64)] = self.weights(terms, tfs)
+        text, row = self._near(asked.astype(np.float32), k)
+        sims = self._cosines(asked, text, row)
+        text, row, sims = text[sims > 0], row[sims > 0], np.round(sims[sims > 0], 12)
+        order = np.lexsort((row, -sims, text))
+        text, row, sims = text[order], row[order], sims[order]
+        edge, out = np.searchsorted(text, np.arange(len(texts) + 1)), []
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            end = b if b - a <= k else a + int(np.searchsorted(-sims[a:b], -sims[a + k - 1], side="right"))
+            out.append((row[a:end], sims[a:end]))
+        return out
+
+    def _near(self, asked: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of texts and rows: for each text all rows whose cosine is above 0 and at least its ``k``-th best, and some others."""
+        dense, most = self._tables()
+        scores = np.zeros((len(asked), self.blocks, BLOCK), np.float32)
+        bound, all_texts = asked @ most.T, np.arange(len(asked))
+        first = np.zeros(bound.shape, bool)
+        first[all_texts[:, None], np.argpartition(bound, -min(FIRST_BLOCKS, self.blocks), axis=1)[:, -FIRST_BLOCKS:]] = True
+        self._score(scores, asked, dense, first & (bound > 0))
+        least = np.zeros(len(asked), np.float32)
+        n_seen = min(FIRST_BLOCKS, self.blocks) * BLOCK
+        if n_seen >= k:
+            least = np.partition(scores[first].reshape(len(asked), n_seen), n_seen - k, axis=1)[:, n_seen - k]
+        self._score(scores, asked, dense, ~first & (bound > 0) & (bound >= least[:, None] - SLACK))
+        if self.blocks >= k:  # the best of k blocks are k rows
+            least = np.maximum(least, np.partition(scores.max(axis=2), self.blocks - k, axis=1)[:, self.blocks - k])
+        flat = scores.reshape(len(asked), self.blocks * BLOCK)
+        text, row = np.nonzero(flat > np.maximum(least - SLACK, 0)[:, None])
+        return text, row
+
+    @staticmethod
+    def _score(scores: np.ndarray, asked: np.ndarray, dense: np.ndarray, visits: np.ndarray) -> None:
+        """Fill in the scores of the blocks that texts visit (``visits``: text by block)."""
+        for block in np.flatnonzero(visits.any(axis=0)).tolist():
+            some = np.flatnonzero(visits[:, block])
+            scores[some, block] = asked[some] @ dense[block].T
+
+    def _cosines(self, asked: np.ndarray, text: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Cosines of pairs of a text and a row: sums over the row's postings in the order of their terms."""
+        out, times = np.zeros(len(text)), self.edge[row + 1] - self.edge[row]
+        for some in np.array_split(np.arange(len(text)), len(text) // PAIRS_AT_ONCE + 1):
+            n = times[some]
+            which = np.repeat(self.edge[row[some]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            pair = np.repeat(np.arange(len(some)), n)
+            out[some] = np.bincount(pair, self.weight[which] * asked[text[some][pair], self.term[which]], len(some))
+        return out
 
 
 @dataclass
@@ -183,15 +206,23 @@ class Voters:
     slope: float = 1.0
     shift: float = 0.0
 
+    def votes(self, texts: list[tuple[tuple, tuple, int | None]]) -> list[tuple[float, list]]:
+        """``vote`` for each of ``(terms, tfs, without)``."""
+        some = iter(self.index.nearest_of([(terms, tfs) for terms, tfs, _ in texts if terms], NEAREST))
+        return [self._vote(*t, next(some) if t[0] else None) for t in texts]
+
     def vote(self, terms: tuple, tfs: tuple, without: int | None = None) -> tuple[float, list]:
         """The share of toxic examples among the nearest, weighted by cosine, and the nearest as evidence. A text without
         terms is nearest to the examples without terms. ``without`` leaves out one own example with that label."""
+        return self.votes([(terms, tfs, without)])[0]
+
+    def _vote(self, terms: tuple, tfs: tuple, without: int | None, nearest: tuple[np.ndarray, np.ndarray] | None) -> tuple[float, list]:
         if not terms:
             n, toxic, seen = self.bare[0], self.bare[1], []
             if without is not None:
                 n, toxic = n - 1, toxic - without
             return (toxic + PRIOR * self.base) / (n + PRIOR), seen
-        rows, sims = self.index.nearest(terms, tfs, NEAREST)
+        rows, sims = nearest
         n, toxic = self.n[rows].astype(float), self.n_toxic[rows].astype(float)
         if without is not None:
             own = rows == self.number[terms, tfs]
@@ -216,14 +247,13 @@ def _vote_table(df: DataFrame, voters: Voters, carried: list[str], left_out: boo
         judge, known = shared.value, {}
         for batch in batches:
             own = batch.column("toxic").to_pylist() if left_out else [None] * len(batch)
-            out = []
-            for terms, tfs, label in zip(batch.column("terms").to_pylist(), batch.column("tfs").to_pylist(), own):
-                key = tuple(terms), tuple(tfs), label
-                if key not in known:
-                    if len(known) >= CACHED:
-                        known.clear()
-                    known[key] = judge.vote(*key)
-                out.append(known[key])
+            keys = [(tuple(terms), tuple(tfs), label) for terms, tfs, label in zip(batch.column("terms").to_pylist(), batch.column("tfs").to_pylist(), own)]
+            if len(known) >= CACHED:
+                known.clear()
+            new = sorted({k for k in keys if k not in known})  # like texts ask for the same blocks
+            for at in range(0, len(new), TEXTS_AT_ONCE):
+                known.update(zip(new[at:at + TEXTS_AT_ONCE], judge.votes(new[at:at + TEXTS_AT_ONCE])))
+            out = [known[k] for k in keys]
             kind = pa.list_(pa.struct([("doc_id", batch.column("doc_id").type), ("similarity", pa.float64()), ("n", pa.int32()), ("n_toxic", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array([v for v, _ in out], pa.float64()),

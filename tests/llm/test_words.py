@@ -191,6 +191,28 @@ def test_short_lists_are_read_without_bounds_of_blocks(monkeypatch):
     assert all((a == c).all() and (b == d).all() and len(a) >= 16 for (a, b), (c, d) in zip(got, want))
 
 
+def test_texts_with_frequent_terms_are_looked_up_together(monkeypatch):
+    """F op13: where labels depend on frequent words most examples share terms with a text; a lookup of its own for each text read all their postings."""
+    rng = np.random.default_rng(11)
+    vectors = sorted({(tuple(t), tuple(rng.integers(1, 6, len(t)).tolist())) for t in (np.flatnonzero(rng.random(60) < 0.6).tolist() for _ in range(1500)) if t})
+    index, summed = toxicity.BlockMaxIndex(vectors, rng.random(60) + 1), []
+    dense = np.zeros((len(vectors), 60))
+    for k, (t, f) in enumerate(vectors):
+        dense[k, list(t)] = index.weights(t, f)
+    cosines = index._cosines
+    monkeypatch.setattr(index, "_cosines", lambda asked, text, row: summed.append(len(row)) or cosines(asked, text, row))
+    texts = vectors[::10]
+    got = index.nearest_of(texts, 16)
+    assert sum(summed) < len(texts) * len(vectors) / 20
+    for k, (rows, sims) in enumerate(got):
+        full = dense @ dense[10 * k]
+        last = np.sort(full)[-16]
+        assert set(np.flatnonzero(full > last + 1e-9)) <= set(rows.tolist()) <= set(np.flatnonzero(full >= last - 1e-9)) and np.allclose(sims, full[rows])
+    assert index.nearest_of([], 16) == [] and toxicity.BlockMaxIndex([], np.ones(0)).nearest_of([], 16) == []
+    alone = [index.nearest(*v, 16) for v in texts]
+    assert all((a == c).all() and (b == d).all() for (a, b), (c, d) in zip(got, alone))
+
+
 def toxic_rows():
     rng = random.Random(5)
     plain = [f"word{k}" for k in range(300)]
