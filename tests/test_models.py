@@ -35,6 +35,19 @@ def test_all_shortlist_models_are_compared(spark, features):
         assert len(top) == len(K.FEATURE_NAMES) and len(set(top[:4]) & set(K.FEATURE_NAMES[:3])) >= 2
 
 
+def test_the_forest_keeps_nodes_with_the_rows_and_grows_the_same_trees(spark, features):
+    weighted = models.add_class_weights(features[0]).persist()
+    grown = []
+    for keep in (True, False):
+        pipeline = models.shortlist_models(300, 0.05)[models.RF]
+        forest = pipeline.getStages()[-1]
+        assert forest.getCacheNodeIds()
+        forest.setCacheNodeIds(keep)
+        grown.append(pipeline.fit(weighted).stages[-1].toDebugString.split("\n", 1)[1])
+    weighted.unpersist()
+    assert grown[0] == grown[1] and "Tree 14" in grown[0]
+
+
 def test_a_loaded_model_equals_the_saved_one(spark, features, tmp_path):
     train, test = features
     fitted = models.fit_shortlist(train, models.LR)
