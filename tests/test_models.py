@@ -2,6 +2,7 @@
 
 import math
 import random
+import threading
 from collections import Counter
 
 import pytest
@@ -48,6 +49,17 @@ def test_the_forest_keeps_nodes_with_the_rows_and_grows_the_same_trees(spark, fe
     assert grown[0] == grown[1] and "Tree 14" in grown[0]
 
 
+def test_fits_run_beside_each_other(spark):
+    both = threading.Barrier(2, timeout=30)
+
+    def fit(name):
+        both.wait()  # passed only while the other fit runs too
+        return name, spark.range(3).count()
+    assert list(models.fit_together(spark, {n: lambda n=n: fit(n) for n in "ab"}).items()) == [(n, (n, 3)) for n in "ab"]
+    with pytest.raises(ZeroDivisionError):
+        models.fit_together(spark, {"a": lambda: 1, "b": lambda: 1 / 0})
+
+
 def test_a_loaded_model_equals_the_saved_one(spark, features, tmp_path):
     train, test = features
     fitted = models.fit_shortlist(train, models.LR)
