@@ -34,9 +34,12 @@ def clean(text: Column) -> Column:
 
 def mask_pii(text: Column) -> Column:
     """Replace mail addresses, then phone-like digit runs, then links."""
-    out = F.regexp_replace(text, rf"[{WORD}.+-]+@[{WORD}-]+\.[{WORD}.]+", "[EMAIL]")
+    # A pattern is walked only where a text has what it needs. The part before "@" takes a whole run of its characters, so a match is
+    # tried at the start of a run, or right behind the match before, and never goes back.
+    mail = rf"(?:(?<![{WORD}.+-])|\G)[{WORD}.+-]++@[{WORD}-]+\.[{WORD}.]+"
+    out = F.when(text.contains("@"), F.regexp_replace(text, mail, "[EMAIL]")).otherwise(text)
     out = F.regexp_replace(out, rf"(\+?\p{{Nd}}[\p{{Nd}}{WS}().-]{{8,}}\p{{Nd}})", "[PHONE]")
-    return F.regexp_replace(out, rf"https?://[^{WS}]+|www\.[^{WS}]+", "[URL]")
+    return let(out, lambda out: F.when(out.contains("http") | out.contains("www."), F.regexp_replace(out, rf"https?://[^{WS}]+|www\.[^{WS}]+", "[URL]")).otherwise(out))
 
 
 def education_level(text: Column) -> Column:
