@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostra.operators import chunks as ch
-from rostra.operators.retrieval import Index, segment, statistics, with_chunk_key
+from rostra.operators.retrieval import Index, _place, segment, statistics, with_chunk_key
 from rostra.session import materialize
 
 SEGMENT_BITS = 50  # places of a segment start at its number times 2 ** 50
@@ -44,7 +44,7 @@ def append_documents(docs: DataFrame, path: str, stop_words: list[str] | None =
     number = _next(spark, path)
 
     def written(df: DataFrame, part: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{path}/segments/{number}/{part}")
+        df.write.mode("overwrite").parquet(f"{path}/segments/{number}/{part}", compression="zstd")
         return spark.read.schema(df.schema).parquet(f"{path}/segments/{number}/{part}")
 
     segment(with_chunk_key(ch.chunk_documents(docs)), stop_words, written, number << SEGMENT_BITS)
@@ -68,6 +68,9 @@ def open_index(spark: SparkSession, path: str) -> Index:
     if not numbers:
         raise ValueError(f"nothing has been added to {path}")
 
+    def written(df: DataFrame, part: str) -> DataFrame:
+        return materialize(df, part, "zstd")
+
     def union(part: str) -> DataFrame:
         return reduce(DataFrame.unionByName, [spark.read.parquet(f"{path}/segments/{n}/{part}") for n in numbers])
 
@@ -76,7 +79,9 @@ def open_index(spark: SparkSession, path: str) -> Index:
     if deletions:
         last = reduce(DataFrame.unionByName, deletions).groupBy("doc").agg(F.max("until").alias("until"))
         marked = chunks.join(last, "doc", "left").withColumn("gone", F.coalesce(F.shiftright("place", SEGMENT_BITS) < F.col("until"), F.lit(False)))
-        gone = materialize(marked.where("gone").select("place"), "gone")
-        chunks = materialize(marked.where("NOT gone").drop("gone", "until"), "chunks")
-        lists = materialize(lists.join(gone, "place", "left_anti"), "lists")
-    return Index(chunks, *statistics(chunks, lists, materialize))
+        gone = written(marked.where("gone").select("place"), "gone")
+        chunks = written(marked.where("NOT gone").drop("gone", "until"), "chunks")
+        postings = lists.select("part", "shard", "term", F.explode(F.arrays_zip("ords", "counts")).alias("e")).withColumn("place", _place("shard", "e.ords"))
+        left = postings.join(gone, "place", "left_anti").groupBy("part", "shard", "term").agg(F.sort_array(F.collect_list("e")).alias("e"))
+        lists = written(left.select("part", "shard", "term", "e.ords", "e.counts").repartition("part").sortWithinPartitions("part", "term"), "lists")
+    return Index(chunks, *statistics(chunks, lists, written))
